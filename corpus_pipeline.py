@@ -1,5 +1,61 @@
-STAGES = []
+"""A corpus pipeline of five stages, from raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; ``run`` writes every stage's rows as Parquet in the shared folder and
+reads them back as the next one's documents. All but the last stage return the columns of
+``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from locuspark.llm.common import materialise
+from locuspark.llm.line_dedup import dedup_lines
+from locuspark.llm.packing import pack_documents
+from locuspark.llm.quality_rules import quality_rules
+from locuspark.llm.simhash import near_duplicates
+from locuspark.llm.substring_dedup import dedup_substrings
+from locuspark.shipping import ship
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules(docs).where("kept").select(*docs.columns)
+
+
+def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return dedup_lines(docs).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return near_duplicates(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return dedup_substrings(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("line dedup", drop_common_lines),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("substring dedup", drop_repeated_passages),
+    ("best-fit packing", pack),
+]
+
+#: SimHash needs XXH64 with a seed and packing a sequential search; the tests compare run() with a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

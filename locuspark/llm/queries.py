@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
+from .html_extract import extract
 from .line_dedup import dedup_lines
 from .packing import pack_documents
 from .quality_classifier import fit, score
 from .quality_rules import BASE, STOP_WORDS, quality_rules, words_of
+from .sentencepiece_codec import decode, encode
 from .simhash import members
 from .substring_dedup import dedup_substrings
 from .token_output import tokens_table
@@ -48,10 +50,28 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: n_tokens, the SHA-256 of the ids as text joined by spaces, and whether decoding them gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decode(encode(docs, model), model)
+    given = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        (F.col("decoded") == given).alias("round_trip"),
+    )
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -70,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_extract": op5_html_extract,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_token_output": op8_token_output,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
