@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[name] = f
         if sql:
-            SQL[name] = f"WITH {V}\n{sql}" if " v" in sql or "v " in sql else sql
+            SQL[name] = sql if sql.startswith("WITH") else f"WITH {V}\n{sql}"
         return f
 
     return add
@@ -150,7 +150,7 @@ scan("range_chrom", f"SELECT {TEXT} FROM v WHERE chrom = 'chr7'", range="chr7")
 scan("range_window", f"SELECT {TEXT} FROM v WHERE chrom = 'chr7' AND pos BETWEEN 500 AND 4000", range="chr7:500-4000")
 scan("range_open_hi", f"SELECT {TEXT} FROM v WHERE chrom = 'chr10' AND pos >= 1000", range="chr10:1000-")
 scan("range_open_lo", f"SELECT {TEXT} FROM v WHERE chrom = 'chr10' AND pos <= 1000", range="chr10:-1000")
-scan("range_point", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos = 77", range="chr3:77")
+scan("range_point", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos = 260", range="chr3:260")
 query("range_and_where", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos > 900")(lambda s, d: (t := Tables(s, d)).read(t.file(), range="chr3").where("pos > 900"))
 scan("range_absent_chrom", f"SELECT {TEXT} FROM v WHERE chrom = 'chrZ'", range="chrZ")
 
