@@ -70,7 +70,7 @@ class Dictionary:
 
 def parse(text: str, path: str) -> Dictionary:
     out = Dictionary(path)
-    folder = path.rpartition("/")[0]
+    folder = path.rpartition("/")[0] or ("/" if path.startswith("/") else "")
     for number, raw in enumerate(text.split("\n"), 1):
         line = re.sub(r"[\r ]+$", "", raw)
         if not line:

@@ -1,0 +1,262 @@
+"""The data sources, writers, SQL surface and table functions on Spark: every documented assertion, and windows against full scans."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from locuspark.functions.blocks import frame
+from locuspark.operators.joins import interval_join, nearest_before
+from locuspark.plans import scan
+from locuspark.plans.ranges import Window, parse_range
+from locuspark.sources import files
+
+ROWS = [("chr1", 1, "A"), ("chr1", 2, "C"), ("chr10", 3, "G"), ("chr2", 5, "T")]
+
+
+def put(engine, path, rows, names="chrom string, pos int, ref string", **options):
+    engine.write_gor(engine.spark.createDataFrame(rows, names).coalesce(1), str(path), **options)
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def g(engine, tmp_path_factory):
+    return put(engine, tmp_path_factory.mktemp("g") / "g.gorz", ROWS)
+
+
+@pytest.fixture(scope="module")
+def gord(engine, tmp_path_factory):
+    at = tmp_path_factory.mktemp("d")
+    letters = "ABCD"
+    for i in range(4):
+        put(engine, at / f"s{i + 1}.gorz", [("chr1", 10 * (i + 1), letters[i]), ("chr1", 10 * (i + 5), letters[i])], "chrom string, pos int, val string")
+    rows = [("chr1", 10 * (k + 1), letters[k % 4], f"s{k % 4 + 1}") for k in range(8)]
+    put(engine, at / "b1.gorz", rows, "chrom string, pos int, val string, Source string")
+    lines = [f"s{i}.gorz|{'D|' if i == 3 else ''}b1.gorz\ts{i}\tchr1\t1\tchr1\t1000000" for i in (1, 2, 3, 4)]
+    (at / "d.gord").write_text("\n".join(lines) + "\n")
+    (at / "tags.tsv").write_text("#PN\thdr\ns1\tx\ns2\ty\n")
+    return at
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_round_trip(engine, g):  # S1, W1
+    df = engine.read_gor(g)
+    assert df.dtypes == [("chrom", "string"), ("pos", "int"), ("ref", "string")]
+    assert rows(df.orderBy("chrom", "pos")) == ROWS
+    assert engine.read_gorz(g).count() == 4  # S2
+    assert engine.sql(f"SELECT count(*) FROM '{g}'").first()[0] == 4  # S4
+    assert rows(engine.sql(f"SELECT chrom, CAST(pos AS STRING), ref FROM read_gor('{g}') ORDER BY 1, 2 LIMIT 1")) == [("chr1", "1", "A")]
+
+
+@pytest.mark.parametrize(("spec", "n"), [("chr1", 2), ("chr1:1-1", 1), ("chr2", 1), ("chrZ", 0), ("chr1:2-", 1), ("", 4)])
+def test_range(engine, g, spec, n):
+    assert engine.read_gor(g, range=spec).count() == n
+    assert engine.sql(f"SELECT count(*) FROM read_gor('{g}', range := '{spec}')").first()[0] == n
+
+
+def test_range_meets_where(engine, g):
+    assert engine.sql(f"SELECT count(*) FROM read_gor('{g}', range := 'chr1') WHERE pos = 2").first()[0] == 1
+    assert engine.read_gor(g, range="chr1").where("chrom = 'chr2'").count() == 0  # F6
+
+
+def test_errors(engine, g, gord):
+    with pytest.raises(Exception, match="bad position"):
+        engine.read_gor(g, range="chr1:oops")
+    with pytest.raises(Exception, match="only applies to .gord"):
+        engine.read_gor(g, f=["a"])
+    with pytest.raises(Exception, match="cannot open"):
+        engine.read_gor("/nowhere/x.gorz")
+    (gord / "none.gord").write_text("a.gorz\t\n")
+    with pytest.raises(Exception, match="carries no tags"):
+        engine.read_gor(str(gord / "none.gord"), f=["a"])
+    (gord / "empty.gord").write_text("\n")
+    with pytest.raises(Exception, match="empty dictionary"):
+        engine.read_gor(str(gord / "empty.gord"))
+    (gord / "gone.gord").write_text("s1.gorz\ta\ngone.gorz\tb\n")
+    with pytest.raises(Exception, match="cannot open"):
+        engine.read_gor(str(gord / "gone.gord")).count()
+    assert engine.read_gor(str(gord / "gone.gord"), f=["a"]).count() == 2  # D16: only selected files matter
+
+
+def test_source_on_a_plain_file_is_ignored(engine, g):  # Q-6
+    assert engine.read_gor(g, source="PN").columns == ["chrom", "pos", "ref"]
+
+
+def test_dictionary(engine, gord):
+    d = str(gord / "d.gord")
+    full = [("chr1", p, "ABCD"[(p // 10 - 1) % 4], f"s{(p // 10 - 1) % 4 + 1}") for p in (10, 20, 40, 50, 60, 80)]
+    assert rows(engine.read_gord(d).orderBy("pos")) == full
+    assert engine.read_gor(d).columns[3] == "Source"
+    assert engine.read_gor(d, source="PN").columns[3] == "PN"
+    assert rows(engine.read_gor(d, f=["s1", "s2"]).orderBy("pos")) == [r for r in full if r[3] in ("s1", "s2")]
+    ff = str(gord / "tags.tsv")
+    for options, n in (({"f": ["s1"]}, 2), ({"ff": ff}, 4), ({"f": ["s1"], "ff": ff}, 4), ({"f": ["s1", "s2", "s3"]}, 4), ({"f": ["nope"]}, 0), ({"f": ["s3"]}, 0), ({"f": [f"s{i}" for i in range(1, 5)]}, 6), ({"range": "chr1:15-55"}, 3), ({"f": []}, 6)):
+        assert engine.read_gor(d, **options).count() == n, options
+    assert engine.sql(f"SELECT count(*) FROM read_gord('{d}', f := ['s1','s2']) WHERE val = 'A'").first()[0] == 2
+    assert engine.sql(f"SELECT count(*) FROM '{d}' WHERE Source = 's4'").first()[0] == 2
+    assert engine.read_gor(d, source="PN").where("PN IN ('s1', 's4')").count() == 4
+
+
+def test_table_functions(spark, g, gord):
+    assert spark.sql(f"SELECT count(*) FROM read_gor('{g}', range => 'chr1')").first()[0] == 2
+    assert spark.sql(f"SELECT * FROM read_gord('{gord}/d.gord', f => array('s1'), source => 'PN')").columns[3] == "PN"
+    with pytest.raises(Exception, match="bad position"):
+        spark.sql(f"SELECT * FROM read_gor('{g}', range => 'chr1:oops')")
+
+
+def test_copy(engine, spark, tmp_path):  # W1-W4
+    values = "(SELECT * FROM VALUES ('chr1', 1, 'A'), ('chr2', 9, 'G') t(chrom, pos, ref) ORDER BY chrom, pos)"
+    engine.sql(f"COPY {values} TO '{tmp_path}/g.gor' (FORMAT gor)")
+    assert (tmp_path / "g.gor").read_text() == "chrom\tpos\tref\nchr1\t1\tA\nchr2\t9\tG\n"
+    engine.sql(f"COPY {values} TO '{tmp_path}/g.gorz'")
+    assert (tmp_path / "g.gorz").read_bytes().startswith(b"chrom\tpos\tref\nchr2\t9\t\0")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["g.gor", "g.gorz"]
+
+
+@pytest.mark.parametrize(
+    ("values", "message"),
+    [
+        ("('chr2', 5, 'T'), ('chr1', 1, 'A')", "Wrong chromosome order in gor stream"),
+        ("('chr1', 10, 'T'), ('chr1', 2, 'A')", "Wrong order in gor stream"),
+        ("('chr1', 'x', 'A')", "must be an integer type"),
+        ("(1, 1, 'A')", "must be VARCHAR"),
+        ("('chr1', CAST(NULL AS INT), 'A')", "must not be NULL"),
+    ],
+)
+def test_copy_errors_leave_nothing(engine, tmp_path, values, message):  # DEV-8
+    with pytest.raises(Exception, match=message):
+        engine.sql(f"COPY (SELECT * FROM VALUES {values} t(chrom, pos, ref)) TO '{tmp_path}/bad.gorz' (FORMAT gorz)")
+    assert not (tmp_path / "bad.gorz").exists()
+    with pytest.raises(Exception, match="at least 2 columns"):
+        engine.sql(f"COPY (SELECT 'chr1' AS chrom) TO '{tmp_path}/bad.gorz'")
+
+
+def test_borders_between_parts_are_checked(engine, spark, tmp_path):
+    df = spark.range(2000).select(F.lit("chr1").alias("chrom"), F.col("id").alias("pos"))
+    engine.write_gor(df.repartitionByRange(4, "pos").sortWithinPartitions("pos"), f"{tmp_path}/x.gorz", index="true")
+    back = engine.read_gor(f"{tmp_path}/x.gorz")
+    assert [r.pos for r in back.coalesce(1).collect()] == list(range(2000))
+    with pytest.raises(Exception, match="Wrong order"):
+        engine.write_gor(df.repartitionByRange(4, F.desc("pos")).sortWithinPartitions("pos"), f"{tmp_path}/y.gorz")
+
+
+def test_nulls_and_ragged_rows(engine, tmp_path):  # Q-1, DEV-3
+    p = put(engine, tmp_path / "n.gorz", [("chr1", 1, None), ("chr1", 2, "x")])
+    assert rows(engine.read_gor(p)) == [("chr1", 1, ""), ("chr1", 2, "x")]
+    (tmp_path / "r.gorz").write_bytes(b"#c\tp\tv\n" + frame(b"chr1\t1\nchr1\t2\ta\tb", b"chr1", b"2"))
+    assert rows(engine.read_gor(str(tmp_path / "r.gorz"))) == [("chr1", 1, ""), ("chr1", 2, "a")]
+    (tmp_path / "r.gord").write_text("r.gorz\ttag\n")
+    assert rows(engine.read_gor(str(tmp_path / "r.gord"))) == [("chr1", 1, "", "tag"), ("chr1", 2, "a", "tag")]
+
+
+def test_types_from_meta(engine, tmp_path):
+    (tmp_path / "t.gorz").write_bytes(b"c\tp\ta\tb\n" + frame(b"chr1\t3000000000\t12abc\t1.5x\nchr1\t3000000001\t\t", b"chr1", b"3000000001"))
+    assert rows(engine.read_gor(str(tmp_path / "t.gorz"))) == [("chr1", None, "12abc", "1.5x"), ("chr1", None, "", "")]  # Q-3
+    assert engine.read_gor(str(tmp_path / "t.gorz"), range="chr1:3000000001").count() == 1
+    (tmp_path / "t.gorz.meta").write_text("## SCHEMA = S,L,I,D\n")
+    assert rows(engine.read_gor(str(tmp_path / "t.gorz"))) == [("chr1", 3000000000, 12, 1.5), ("chr1", 3000000001, None, None)]
+    (tmp_path / "t.gorz.meta").write_text("## SCHEMA = S,L\n")
+    assert engine.read_gor(str(tmp_path / "t.gorz")).dtypes[1][1] == "int"
+
+
+def test_bad_row_keys_fail_in_dictionaries_only(engine, tmp_path):  # D15
+    (tmp_path / "k.gorz").write_bytes(b"c\tp\n" + frame(b"chr1\tx", b"chr1", b"0"))
+    (tmp_path / "k.gord").write_text("k.gorz\tt\n")
+    assert rows(engine.read_gor(str(tmp_path / "k.gorz"))) == [("chr1", None)]
+    with pytest.raises(Exception, match="integer position"):
+        engine.read_gor(str(tmp_path / "k.gord")).collect()
+
+
+def test_legacy_bucket_first_and_deleted_first_line(engine, gord):  # DEV-5, DEV-6
+    (gord / "l.gord").write_text("b1.gorz\tx\tchr1\t1\tchr1\t99\ts1,s2,s3,s4\n")
+    assert engine.read_gor(str(gord / "l.gord")).columns == ["chrom", "pos", "val", "Source"]
+    (gord / "m.gord").write_text("missing.gorz|D|b1.gorz\ts3\ns1.gorz|b1.gorz\ts1\n")
+    assert engine.read_gor(str(gord / "m.gord")).count() == 2
+
+
+@pytest.fixture(scope="module")
+def many(engine, tmp_path_factory):
+    rng = random.Random(5)
+    rows = sorted((f"chr{rng.choice([1, 10, 2, 'X'])}", rng.randint(1, 60), str(i)) for i in range(600))
+    at = tmp_path_factory.mktemp("many")
+    put(engine, at / "i.gorz", rows, block_bytes="80", index="true")
+    return put(engine, at / "m.gorz", rows, block_bytes="80"), str(at / "i.gorz"), rows
+
+
+@pytest.mark.parametrize("spec", ["chr1", "chr10:5-40", "chr2:60", "chrX:-9", "chr1:59-", "chr3", "chr2:61-"])
+def test_windows_read_few_blocks_and_all_rows(engine, many, spec):  # S10, D13, DEV-7
+    plain, indexed, all_rows = many
+    w = parse_range(spec)
+    want = [r for r in all_rows if r[0] == w.chrom and w.low <= r[1] <= w.high]
+    for path in (plain, indexed):
+        assert sorted(rows(engine.read_gor(path, range=spec))) == want
+        a, b = scan.window_bytes(path, w)
+        assert b - a <= files.size(path) * (len(want) / 600 + 0.1)
+    df = engine.read_gor(plain).where(f"chrom = '{w.chrom}' AND pos >= {max(w.low, 0)} AND pos <= {min(w.high, 99)}")
+    assert sorted(rows(df)) == want
+
+
+def test_every_split_point(engine, many):  # S6, DEV-1
+    from locuspark.sources.reader import FileScan, GorzSource, PlainReader
+    from locuspark.plans.dictionary import Scan
+
+    path, _, all_rows = many
+    source = GorzSource({"path": path})
+    reader = PlainReader(path, None, [], Window(), source.schema(), source.schema(), {})
+    size = files.size(path)
+    data = files.read_all(path)
+    starts = [i + 1 for i, b in enumerate(data) if b == 10 and i + 1 < size]
+    for cut in sorted({*starts[:12], *[s + d for s in starts[-6:] for d in (-1, 1)], 1, size // 2}):
+        got = []
+        for a, b in ((0, cut), (cut, size)):
+            for batch in FileScan(reader, Scan(path), scan.Piece(path, a, b)).batches():
+                got += list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        assert got == all_rows, cut
+
+
+@pytest.mark.parametrize("options", [{"split_bytes": "500"}, {"pushdown": "false"}, {"split_bytes": "700", "max_tasks": "3"}, {"columns": ["ref", "pos"]}])
+def test_plans_change_no_rows(engine, many, options):
+    path, _, all_rows = many
+    got = engine.read_gor(path, **options).where("pos < 30")
+    want = sorted(r for r in all_rows if r[1] < 30)
+    assert sorted(rows(got.select("pos", "ref"))) == sorted((r[1], r[2]) for r in want)
+
+
+def test_bucket_only_is_primary_only(engine, gord, monkeypatch):
+    d = str(gord / "d.gord")
+    got = []
+    for percent in ("1", "100"):
+        got.append(sorted(rows(engine.read_gor(d, **{"gor.bucket.initial.usage.threshold": percent}, f=["s1", "s2", "s3", "s4"]))))
+    assert got[0] == got[1] and len(got[0]) == 6
+
+
+def test_pushed_filters_reach_the_scan(engine, many):
+    df = engine.read_gor(many[0], split_bytes="400")
+    assert df.where("chrom = 'chr1' AND 5 > pos").rdd.getNumPartitions() < df.where("chrom = 'chr1'").rdd.getNumPartitions() < df.rdd.getNumPartitions()
+
+
+def test_interval_join_and_nearest_before(spark):
+    rng = random.Random(3)
+    points = [(f"c{rng.randint(1, 2)}", rng.randint(0, 300), i) for i in range(200)]
+    spans = [(f"c{rng.randint(1, 2)}", s := rng.randint(0, 300), s + rng.randint(-3, 60), i) for i in range(60)]
+    p = spark.createDataFrame(points, "chrom string, pos int, id int")
+    s = spark.createDataFrame(spans, "chrom string, lo int, hi int, span int")
+    got = sorted((r.id, r.span) for r in interval_join(p, s, "chrom", "pos", "lo", "hi", 16).collect())
+    assert got == sorted((i, j) for c, x, i in points for d, a, b, j in spans if c == d and a <= x <= b)
+    right = s.select("chrom", F.col("lo").alias("pos"), F.col("span").alias("v"))
+    got = {r.id: r.near for r in nearest_before(p, right, "chrom", "pos", "v", "near", 32).collect()}
+    for c, x, i in points:
+        near = max(((a, j) for d, a, _, j in spans if d == c and a <= x), default=None)
+        assert got[i] == (near[1] if near else None)
+
+
+def test_options_take_json_and_comma_lists(engine, gord):
+    d = str(gord / "d.gord")
+    for f in (json.dumps(["s1", None, "s2"]), "s1, s2,"):
+        assert engine.spark.read.format("gord").option("f", f).load(d).count() == 4
+    engine.spark.sql(f"CREATE OR REPLACE TEMP VIEW dv USING gord OPTIONS (path '{d}', f 's1')")
+    assert engine.spark.sql("SELECT count(*) FROM dv").first()[0] == 2
