@@ -68,14 +68,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
         prints = np.fromiter((fingerprint(x.as_buffer().to_pybytes()) for x in texts), np.uint64, len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["_doc", "_print"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], ["_doc", "_t", "_print"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_doc, _print) for each row; the 64 bits are held in a signed long."""
-    rows = docs.select(quoted(id_col).alias("_doc"), with_text(docs, text_col).alias("_text"))
+    """(_doc, _t, _print) for each row: the id, a hash of the text, and the 64 bits in a signed long."""
+    text = with_text(docs, text_col)
+    rows = docs.select(quoted(id_col).alias("_doc"), text.alias("_text"), F.xxhash64(text).alias("_t"))
     kind = dict(rows.dtypes)["_doc"]
-    return rows.mapInArrow(_fingerprints, f"_doc {kind}, _print long")
+    return rows.mapInArrow(_fingerprints, f"_doc {kind}, _t long, _print long")
 
 
 def segments(m: int) -> list[int]:
@@ -201,7 +202,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK, shape
 
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, block: int = BLOCK, shape: tuple[int, int] | None = None) -> DataFrame:
-    """(_doc, _print, _component) for each row of ``docs``."""
+    """(_doc, _t, _print, _root, _component) for each row of ``docs``; _root is the same throughout a component."""
     rows = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     classes = materialise(rows.groupBy("_print").agg(F.min("_doc").alias("_least"), F.count(F.lit(1)).alias("_n")), "fingerprint-classes")
     found = materialise(links(classes.select("_print"), distance, block, shape), "fingerprint-links")
@@ -209,24 +210,25 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dis
     rooted = classes.join(roots, classes["_print"] == roots["node"], "left").select("_print", "_least", "_n", F.coalesce("root", "_print").alias("_root"))
     rooted = materialise(rooted, "fingerprint-roots")
     least = rooted.groupBy("_root").agg(F.min("_least").alias("_component"), F.count(F.lit(1)).alias("_m"))
-    named = materialise(lookup(rooted, least, ["_root"], "_m").select("_print", "_component", "_n"), "fingerprint-components")
+    named = materialise(lookup(rooted, least, ["_root"], "_m").select("_print", "_root", "_component", "_n"), "fingerprint-components")
     discard(found, classes)
     return lookup(rows, named, ["_print"], "_n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
-    """``docs`` without the rows that have a near-duplicate with a smaller id.
-
-    Of rows that repeat the smallest id, the largest in the order of the columns stays.
-    """
+    """``docs`` with one row of each component, that with the smallest id (null ids last, then the smaller text hash)."""
     found = members(docs, id_col, text_col, distance, block)
-    stay = found.where(F.col("_doc").eqNullSafe(F.col("_component"))).groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
-    stay = materialise(stay, "kept-ids").withColumnRenamed("_doc", "_d")
-    left = docs.select(*numbered(docs), quoted(id_col).alias("_doc"))
-    same = F.col("_doc").eqNullSafe(F.col("_d"))
-    names = [F.col(f"_c{i}") for i in range(len(docs.columns))]
+    rank = F.struct(F.col("_doc").isNull().alias("x"), F.col("_doc").alias("d"), F.col("_t").alias("u"))
+    stay = found.groupBy("_root").agg(F.min(rank).alias("_least"), F.count(F.lit(1)).alias("_n")).select(F.col("_least.d").alias("_d"), F.col("_least.u").alias("_u"))
+    stay = materialise(stay, "kept-rows")
+    same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_u"))
+    left = docs.select(*numbered(docs), quoted(id_col).alias("_doc"), F.xxhash64(with_text(docs, text_col)).alias("_t"))
+    kept = left.join(stay, same, "left_semi")
     back = [F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    if is_empty(stay.where("_n > 1")):
-        return left.join(stay, same, "left_semi").select(*back)
-    one = left.join(stay.where("_n > 1"), same, "left_semi").groupBy("_doc").agg(F.max(F.struct(*names)).alias("_row"))
-    return left.join(stay.where("_n = 1"), same, "left_semi").select(*back).unionByName(one.select("_row.*").select(*back))
+    # Rows that repeat id and text are rare; one of them stays.
+    repeats = materialise(found.groupBy("_doc", "_t").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_doc").alias("_d"), F.col("_t").alias("_u")), "repeated-rows")
+    if is_empty(repeats):
+        return kept.select(*back)
+    names = [F.col(f"_c{i}") for i in range(len(docs.columns))]
+    one = kept.join(repeats, same, "left_semi").groupBy("_doc", "_t").agg(F.max(F.struct(*names)).alias("_row"))
+    return kept.join(repeats, same, "left_anti").select(*back).unionByName(one.select("_row.*").select(*back))
