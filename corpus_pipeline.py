@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locuspark.llm.common import materialise
+from locuspark.llm.common import materialise, sweep, written
 from locuspark.llm.line_dedup import dedup_lines
 from locuspark.llm.packing import pack_documents
 from locuspark.llm.quality_rules import quality_rules
@@ -56,6 +56,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = written()
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        sweep(spark, before, docs)  # what the stage and its predecessor wrote
     return docs

@@ -30,8 +30,31 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Every table written by this process, in order; see ``sweep``.
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete the tables written after the first ``since``, but for those of ``keep``; results that read them must have been written."""
+    kept = {getattr(df, "scratch", None) for df in keep}
+    gone = [x for x in _written[since:] if x not in kept]
+    for path in gone:
+        _delete(spark, path)
+        _written.remove(path)
+
+
+def written() -> int:
+    return len(_written)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, name: str, **options) -> DataFrame:
@@ -52,9 +75,7 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         path = getattr(df, "scratch", None)
         if path:
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(df.sparkSession, path)
 
 
 def is_empty(df: DataFrame) -> bool:
