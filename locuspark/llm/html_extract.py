@@ -38,7 +38,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object select option button canvas audio video map".split())
 OUT = frozenset("nav aside footer form menu dialog head".split())
-ARTICLE = frozenset("article main".split())
+ARTICLE = {"article": 3, "main": 2}
+#: Class and id words of a container that holds the article where neither element is used.
+CONTENT = frozenset("article content entry post story".split())
 #: Class and id words of page furniture.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
@@ -60,7 +62,8 @@ class Block:
     links: int
     furniture: bool
     region: int
-    article: bool
+    #: How plainly the markup says that this is the article, 0 to 3; after pass one 1 or 0.
+    article: int
     label: bool | None = None
 
 
@@ -80,12 +83,26 @@ def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _article_level(name: str, attributes: str) -> int:
+    if name in ARTICLE:
+        return ARTICLE[name]
+    if name in ("div", "section", "td") and "=" in attributes:
+        for m in _NAMES.finditer(attributes):
+            value = (m[1] or m[2] or m[3] or "").lower()
+            if m[0][:4].lower() == "role":
+                if value == "main":
+                    return 2
+            elif not CONTENT.isdisjoint(re.split(r"[^a-z]+", value)):
+                return 1
+    return 0
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with what pass one needs to know of each."""
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []
     # (name, furniture, region, article, in a link) of each open element; regions are numbered in order.
-    stack = [("", False, 0, False, False)]
+    stack = [("", False, 0, 0, False)]
     regions = 0
     breaks = 0
 
@@ -148,7 +165,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[-1][0] == name:
                     flush()
                     stack.pop()
-            elif _is_furniture(name, m[3], stack[-1][3]):
+            elif _is_furniture(name, m[3], bool(stack[-1][3])):
                 flush()
                 stack.append((name, True, *stack[-1][2:]))
             continue
@@ -164,10 +181,10 @@ def blocks(page: str) -> list[Block]:
         if name == "body":
             close("head")
         _, furniture, region, article, _ = stack[-1]
-        if name in ARTICLE:
-            article, regions = True, regions + 1
-            region = regions
-        stack.append((name, furniture or _is_furniture(name, m[3], article), region, article, False))
+        level = _article_level(name, m[3])
+        if level > article:
+            article, region, regions = level, regions + 1, regions + 1
+        stack.append((name, furniture or _is_furniture(name, m[3], bool(article)), region, article, False))
     if at < len(page):
         parts.append((page[at:], stack[-1][4]))
     flush()
@@ -176,10 +193,11 @@ def blocks(page: str) -> list[Block]:
 
 def decide(found: list[Block]) -> None:
     """Pass one."""
-    articles = any(b.article and not b.furniture for b in found)
+    top = max((b.article for b in found if not b.furniture), default=0)
     for b in found:
+        b.article = int(top > 0 and b.article == top)
         size = len(b.text)
-        if b.furniture or (articles and not b.article):
+        if b.furniture or (top and not b.article):
             b.label = False
         elif b.links > MAX_LINK_SHARE * size:
             b.label = None if b.article and size >= LONG_CHARS else False
@@ -195,7 +213,7 @@ def decide(found: list[Block]) -> None:
 def inherit(found: list[Block]) -> None:
     """Pass two. Page furniture stands apart: it is passed over, and gives no label to its neighbours."""
     rows = [b for b in found if not b.furniture]
-    region_of: dict[tuple[bool, int], list[Block]] = {}
+    region_of: dict[tuple[int, int], list[Block]] = {}
     for b in rows:
         region_of.setdefault((b.article, b.region if b.article else 0), []).append(b)
     for (article, _), own in region_of.items():
@@ -223,7 +241,7 @@ def inherit(found: list[Block]) -> None:
                 elif i - x != y - i:
                     b.label = labels[x] if i - x < y - i else labels[y]
                 else:
-                    b.label = labels[x] or labels[y] if article else labels[x] and labels[y]
+                    b.label = (labels[x] or labels[y]) if article else (labels[x] and labels[y])
 
 
 def main_text(page: str) -> str:

@@ -111,6 +111,12 @@ def test_html_ambiguous_blocks_take_the_nearest_label():
     assert main_text(page) == "\n".join([long.strip(), "small", long.strip()])
 
 
+def test_html_article_by_its_class():
+    page = "<body><div class=logo>Site</div><div class='post'><h2>Head</h2><p>Short words.</p></div><p>After</p></body>"
+    assert main_text(page) == "Head\nShort words."
+    assert main_text("<main><p>a</p><article><p>b</p></article><p>c</p></main>") == "b"
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "", "", "y")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
