@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,9 @@ def register(spark: SparkSession) -> None:
     """Make the formats gor, gorz and gord and the read_gor functions known to the session."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    if getattr(spark, "_locuspark_registered", False):
+        return
+    spark._locuspark_registered = True
     for source in (GorzSource, GordSource, GorSource):
         spark.dataSource.register(source)
     register_functions(spark)
@@ -38,8 +42,6 @@ class Engine:
 
     def read_gor(self, path: str, f: list[str] | None = None, ff: str | None = None, range: str | None = None, source: str | None = None, columns: list[str] | None = None, kind: str = "gor", **options: str) -> DataFrame:
         """A table by path; a dictionary if the suffix is .gord (or kind is 'gord')."""
-        import json
-
         given = {"path": path, "ff": ff, "range": range, "source": source, "f": json.dumps([x for x in f if x is not None]) if f else None, "columns": json.dumps(columns) if columns else None}
         return self._read(kind, {k: v for k, v in given.items() if v is not None} | options)
 
