@@ -67,6 +67,61 @@ def make_writer(kind: str, options: dict[str, str], schema: T.StructType, overwr
     return Writer(path, kind == "gorz", options, schema, overwrite)
 
 
+class Encoder:
+    """Sorted rows as blocks, or as lines of text; the order of the rows is checked."""
+
+    def __init__(self, out, packed: bool = True, flag: int = 0, block_bytes: int = BLOCK_BYTES):
+        self.out, self.packed, self.flag, self.block_bytes = out, packed, flag, block_bytes
+        self.held: list[bytes] = []
+        self.size = self.offset = self.rows = 0
+        self.first: tuple[str, int] | None = None
+        self.last: tuple[str, int] | None = None
+        self.blocks: list[tuple[bytes, bytes, int]] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        lines = self._lines(batch)
+        self.rows += len(lines)
+        if not self.packed:
+            self.out.write(b"\n".join(lines) + b"\n")
+            return
+        for line in lines:
+            self.held.append(line)
+            self.size += len(line) + 1
+            if self.size >= self.block_bytes:
+                self._flush()
+
+    def finish(self) -> None:
+        if self.held:
+            self._flush()
+
+    def _flush(self) -> None:
+        last = self.held[-1].split(b"\t", 2)
+        data = frame(b"\n".join(self.held), last[0], last[1], self.flag)
+        self.out.write(data)
+        self.offset += len(data)
+        self.blocks.append((last[0], last[1], self.offset))
+        self.held, self.size = [], 0
+
+    def _lines(self, batch: pa.RecordBatch) -> list[bytes]:
+        for i, name in enumerate(("chrom", "pos")):
+            if batch.column(i).null_count:
+                raise ValueError(f"COPY to gor: {name} (column {i + 1}) must not be NULL")
+        chroms = batch.column(0).to_pylist()
+        at = pc.cast(batch.column(1), pa.int64()).to_numpy(zero_copy_only=False)
+        codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        same = codes[1:] == codes[:-1]
+        for i in np.flatnonzero(~same | (at[1:] < at[:-1])).tolist():
+            in_order((chroms[i], int(at[i])), (chroms[i + 1], int(at[i + 1])))
+        first, last = (chroms[0], int(at[0])), (chroms[-1], int(at[-1]))
+        if self.last is None:
+            self.first = first
+        else:
+            in_order(self.last, first)
+        self.last = last
+        texts = [chroms, list(map(str, at.tolist())), *(column_texts(c) for c in batch.columns[2:])]
+        return [x.encode() for x in map("\t".join, zip(*texts, strict=True))]
+
+
 class Writer(DataSourceArrowWriter):
     def __init__(self, path: str, packed: bool, options: dict[str, str], schema: T.StructType, overwrite: bool):
         # Parts are on storage that driver and executors share, as the target is.
@@ -78,7 +133,7 @@ class Writer(DataSourceArrowWriter):
         self.block_bytes = int(options.get("block_bytes", BLOCK_BYTES))
         if not overwrite and files.exists(path) and files.size(path):
             raise FileExistsError(f"{path} is there already; use mode('overwrite')")
-        _make_folder(self.scratch)
+        make_folder(self.scratch)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Done:
         from pyspark import TaskContext
@@ -87,59 +142,15 @@ class Writer(DataSourceArrowWriter):
         done = Done(part=context.partitionId() if context else 0)
         # Attempts of a task don't meet in one file.
         done.path = f"{self.scratch}/part-{done.part:06d}-{context.taskAttemptId() if context else 0}"
-        held: list[bytes] = []
-        size = offset = 0
-        with _create(done.path) as out:
-
-            def flush() -> None:
-                nonlocal held, size, offset
-                last = held[-1].split(b"\t", 2)
-                data = frame(b"\n".join(held), last[0], last[1], self.flag)
-                out.write(data)
-                offset += len(data)
-                done.blocks.append((last[0], last[1], offset))
-                held, size = [], 0
-
+        with create(done.path) as out:
+            encoder = Encoder(out, self.packed, self.flag, self.block_bytes)
             for batch in iterator:
-                if not batch.num_rows:
-                    continue
-                lines = self._lines(batch, done)
-                done.rows += len(lines)
-                if not self.packed:
-                    out.write(b"\n".join(lines) + b"\n")
-                    continue
-                for line in lines:
-                    held.append(line)
-                    size += len(line) + 1
-                    if size >= self.block_bytes:
-                        flush()
-            if held:
-                flush()
+                if batch.num_rows:
+                    encoder.add(batch)
+            encoder.finish()
+        done.rows, done.first, done.last, done.blocks = encoder.rows, encoder.first, encoder.last, encoder.blocks
         return done
 
-    def _lines(self, batch: pa.RecordBatch, done: Done) -> list[bytes]:
-        for i, name in enumerate(("chrom", "pos")):
-            if batch.column(i).null_count:
-                raise ValueError(f"COPY to gor: {name} (column {i + 1}) must not be NULL")
-        chroms = batch.column(0).to_pylist()
-        at = pc.cast(batch.column(1), pa.int64()).to_numpy(zero_copy_only=False)
-        codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        same = codes[1:] == codes[:-1]
-        for i in np.flatnonzero(~same | (at[1:] < at[:-1])).tolist():
-            in_order((chroms[i], int(at[i])), (chroms[i + 1], int(at[i + 1])))
-        first, last = (chroms[0], int(at[0])), (chroms[-1], int(at[-1]))
-        if done.last is None:
-            done.first = first
-        else:
-            in_order(done.last, first)
-        done.last = last
-        texts = [chroms, list(map(str, at.tolist())), *(column_texts(c) for c in batch.columns[2:])]
-        return "\n".join(map("\t".join, zip(*texts, strict=True))).encode().split(b"\n") if not self._multiline(texts) else [x.encode() for x in map("\t".join, zip(*texts, strict=True))]
-
-    @staticmethod
-    def _multiline(texts: list[list[str]]) -> bool:
-        return any("\n" in x for c in texts[2:] for x in c) or any("\n" in x for x in texts[0])
-
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         done = sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.part)
         try:
@@ -148,29 +159,29 @@ class Writer(DataSourceArrowWriter):
             header = "\t".join(self.names).encode() + b"\n"
             joined = f"{self.scratch}/joined"
             entries, offset = [], len(header)
-            with _create(joined) as out:
+            with create(joined) as out:
                 out.write(header)
                 for m in done:
                     with files.open_bytes(m.path) as part:
                         shutil.copyfileobj(part, out, 8 << 20)
                     entries += [(c, p, offset + end) for c, p, end in m.blocks]
                     offset += m.blocks[-1][2] if m.blocks else 0
-            _move(joined, self.path)
+            move(joined, self.path)
             if self.index and self.packed:
-                with _create(f"{self.path}.gori") as out:
+                with create(f"{self.path}.gori") as out:
                     out.write(index_text(entries))
         finally:
-            _remove_folder(self.scratch)
+            remove_folder(self.scratch)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        _remove_folder(self.scratch)
+        remove_folder(self.scratch)
 
 
 def _system(path: str):
     return files._place(path)
 
 
-def _make_folder(path: str) -> None:
+def make_folder(path: str) -> None:
     if files.is_uri(path):
         system, at = _system(path)
         system.create_dir(at, recursive=True)
@@ -178,14 +189,14 @@ def _make_folder(path: str) -> None:
         os.makedirs(path, exist_ok=True)
 
 
-def _create(path: str):
+def create(path: str):
     if files.is_uri(path):
         system, at = _system(path)
         return system.open_output_stream(at)
     return open(path, "wb")
 
 
-def _move(source: str, target: str) -> None:
+def move(source: str, target: str) -> None:
     if files.is_uri(source):
         system, a = _system(source)
         system.move(a, _system(target)[1])
@@ -193,7 +204,7 @@ def _move(source: str, target: str) -> None:
         os.replace(source, target)
 
 
-def _remove_folder(path: str) -> None:
+def remove_folder(path: str) -> None:
     if files.is_uri(path):
         from pyarrow import fs
 
