@@ -99,6 +99,16 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def pinned(col: Column) -> Column:
+    """The same values, computed once where this column is made.
+
+    The optimizer moves a filter on later columns, with all that they are made of, below a projection; within a
+    lambda a list would then be made anew for each element. It does not do so with columns
+    that it takes for nondeterministic.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, col)
+
+
 def hash128(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes; together they don't collide in practice."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7_046_029_254_386_353_131), *cols)]

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, fresh, numbered, quoted, with_text
+from .common import BLANKS, fresh, numbered, pinned, quoted, with_text
 
 # The commonest function words of four languages, as published in general word-frequency lists.
 STOP_WORDS = (
@@ -86,14 +86,14 @@ def figures(texts: DataFrame, text: str) -> DataFrame:
     compared within one text only.
     """
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    out = texts.select("*", words_of(F.col(text)).alias("_w"), lines.alias("_ls"))
-    # Each list is used more than once above the projection that makes it, so the optimizer does not inline it into the lambdas.
+    # Lists that lambdas look into are made once for each row.
+    out = texts.select("*", pinned(words_of(F.col(text))).alias("_w"), pinned(lines).alias("_ls"))
     starts = F.when(F.size("_w") >= 3, F.sequence(F.lit(0), F.size("_w") - 3)).otherwise(F.array().cast("array<int>"))
     window = F.transform(starts, lambda i: F.struct(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("i")))
     upper = F.regexp_count(F.col(text), F.lit("[A-ZÀ-ÖØ-Þ]"))
     out = out.select(
         "*",
-        F.sort_array(window).alias("_s"),
+        pinned(F.sort_array(window)).alias("_s"),
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.regexp_count(F.col(text), F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -106,7 +106,7 @@ def figures(texts: DataFrame, text: str) -> DataFrame:
     hash_at = lambda j: F.get("_s", j)["h"]
     twice = F.filter("_s", lambda x, j: (hash_at(j - 1) == x["h"]) | (hash_at(j + 1) == x["h"]))
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
-    return out.withColumn("n_repeat_words", F.size(covered).cast("long")).drop("_w", "_ls", "_s")
+    return out.withColumn("n_repeat_words", pinned(F.size(covered)).cast("long")).drop("_w", "_ls", "_s")
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED) -> DataFrame:
