@@ -137,9 +137,9 @@ def held_out(doc: Column) -> Column:
 
 
 def _sampled(docs: DataFrame, ids: DataFrame, most: int, id_col: str, text_col: str) -> np.ndarray:
-    """Figures of the rows of the ``most`` ids (a column _id) with the smallest hashes. At most that many ids are broadcast and as many rows of figures collected."""
+    """Figures of the rows of the ``most`` ids (a column _id) with the smallest hashes; of rows that repeat an id the smallest text. At most that many ids are broadcast and as many rows of figures collected."""
     chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(most)
-    texts = docs.select(quoted(id_col).alias("_id"), with_text(docs, text_col).alias("_text")).join(F.broadcast(chosen), "_id", "left_semi").dropDuplicates(["_id"])
+    texts = docs.select(quoted(id_col).alias("_id"), with_text(docs, text_col).alias("_text")).join(F.broadcast(chosen), "_id", "left_semi").groupBy("_id").agg(F.min("_text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
