@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,8 +35,10 @@ from pyspark.sql.window import Window
 from .common import quoted, scratch_path, with_text
 
 END_ID = 2
-#: Parts kept by an encoder; it starts anew beyond that. About 200 bytes each.
-MOST_PARTS = 400_000
+#: Parts kept by an encoder; it starts anew beyond that. About 250 bytes each.
+MOST_PARTS = 500_000
+#: Rows encoded at once.
+SLICE = 1024
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
@@ -58,65 +61,94 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        #: Of each known part its number; number i has ids[starts[i] : starts[i + 1]].
         self.number: dict[str, int] = {}
-        self.runs: dict[str, list[int]] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, total = len(self.number), self.used + len(ids)
+        while total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while first + len(parts) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.ids[self.used : total] = ids
+        self.starts[first + 1 : first + 1 + len(parts)] = self.used + np.cumsum(sizes)
+        self.number.update(zip(parts, range(first, first + len(parts)), strict=True))
+        self.used = total
+
     def _whole(self, parts: list[str]) -> None:
-        for part, x in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            self.runs[part] = x.ids
+        if parts:
+            found = [x.ids for x in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+            sizes = np.array([len(x) for x in found], np.int64)
+            self._add(parts, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
 
     def _letters(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 1024):
             group = runs[at : at + 1024]
             x = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
             words = np.array(x.word_ids, np.int64)
-            cuts = (np.flatnonzero(np.diff(words)) + 1).tolist()
-            if len(words) and words[-1] == len(group) - 1 == len(cuts):
-                self.runs.update(zip(group, map(x.ids.__getitem__, map(slice, [0, *cuts], [*cuts, None])), strict=True))
+            sizes = np.diff(np.flatnonzero(np.diff(words, prepend=-1, append=-1)))
+            if len(words) and words[-1] == len(group) - 1 == len(sizes) - 1:
+                self._add(group, np.array(x.ids, np.uint32), sizes)
             else:
                 self._whole(group)
 
     def _learn(self, new: list[str]) -> None:
-        pieces = []
+        """New parts; what they are made of becomes known as well."""
+        number = self.number
+        joined, stems, tails = [], [], []
+        rest = {}
         for part in new:
             stem = part.rstrip(string.punctuation)
             if stem and stem.isalpha():
-                pieces.append((stem.lower() if stem.isascii() else stem, part[len(stem) :]))
+                low = stem.lower() if stem.isascii() else stem
+                if len(stem) == len(part) and low == part:
+                    rest[part] = None
+                else:
+                    joined.append(part)
+                    stems.append(low)
+                    tails.append(part[len(stem) :])
             else:
-                pieces.append((part, ""))
-        unknown = dict.fromkeys(x for p in pieces for x in p if x not in self.runs)
+                rest[part] = None
+        unknown = dict.fromkeys(x for x in chain(rest, stems, tails) if x not in number)
         self._letters([x for x in unknown if x.isalpha()])
         self._whole([x for x in unknown if not x.isalpha()])
-        found = [self.runs[a] + self.runs[b] if b else self.runs[a] for a, b in pieces]
-        first, total = len(self.number), self.used + sum(map(len, found))
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while first + len(new) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[self.used : total] = np.fromiter(chain.from_iterable(found), np.uint32, total - self.used)
-        self.starts[first + 1 : first + 1 + len(new)] = self.used + np.cumsum([len(x) for x in found])
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
-        self.used = total
+        made = [(x, number[y], number[z]) for x, y, z in zip(joined, stems, tails, strict=True) if x not in number]
+        ids, sizes = self._take(np.array([x[1:] for x in made], np.int64).ravel())
+        self._add([x[0] for x in made], ids, sizes.reshape(-1, 2).sum(axis=1))
+
+    def _take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts by number, one after another, and how many each has."""
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        offsets = np.cumsum(sizes) - sizes
+        return self.ids[np.repeat(starts - offsets, sizes) + np.arange(int(sizes.sum()))], sizes
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """The ids of each text, with the end id."""
         if not self.safe:
-            return [np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32) for x in texts]
-        parts = [x.replace("\n", " ").split(" ") for x in texts]
+            rows = [[*self.tokenizer.encode(x, add_special_tokens=False).ids, end_id] for x in texts.to_pylist()]
+            return pa.array(rows, pa.list_(pa.int32()))
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > MOST_PARTS:
             self.forget()
-        new = set(chain.from_iterable(parts)).difference(self.number)
+        new = [x for x in parts if x not in self.number]
         if new:
-            self._learn(list(new))
-        return [self._of(np.fromiter(map(self.number.__getitem__, x), np.int64, len(x))) for x in parts]
-
-    def _of(self, rows: np.ndarray) -> np.ndarray:
-        starts = self.starts[rows]
-        sizes = self.starts[rows + 1] - starts
-        offsets = np.cumsum(sizes) - sizes
-        return self.ids[np.repeat(starts - offsets, sizes) + np.arange(int(sizes.sum()))]
+            self._learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        ids, sizes = self._take(numbers[coded.indices.to_numpy()])
+        # One more id at the end of each text.
+        first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = before[first] + np.arange(len(first))
+        out = np.full(offsets[-1], end_id, np.int32)
+        of_text = np.repeat(np.arange(len(texts)), np.diff(before[first]))
+        out[np.arange(len(ids)) + of_text] = ids.view(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out))
 
 
 @cache
@@ -129,15 +161,11 @@ def _encode(path: str, end_id: int, parts_safe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, parts_safe).encode
         for batch in batches:
-            at = 0
-            while at < len(batch):  # few rows at a time: ids take more room than text
-                part = batch.slice(at, 512)
-                rows = [np.append(x, np.uint32(end_id)) for x in encode(part.column(1).to_pylist())]
-                sizes = np.array([len(x) for x in rows], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).view(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(sizes)], ["doc_id", "tokens", "n_tokens"])
-                at += 512
+            for at in range(0, len(batch), SLICE):  # ids take more room than text
+                part = batch.slice(at, SLICE)
+                ids = encode(part.column(1), end_id)
+                sizes = pc.cast(pc.list_value_length(ids), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, sizes], ["doc_id", "tokens", "n_tokens"])
 
     return run
 
@@ -173,11 +201,13 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The files with ``start``, the ids of all documents before a document."""
-    return _placed(spark.read.parquet(path))
+    rows = spark.read.parquet(path)
+    return _placed(rows, rows)
 
 
-def _placed(rows: DataFrame) -> DataFrame:
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("_sum"))
+def _placed(rows: DataFrame, written: DataFrame) -> DataFrame:
+    """``rows`` with their starts; the files' sums are read from two columns of ``written``."""
+    files = written.groupBy("file").agg(F.sum("n_tokens").alias("_sum"))
     # One row for each file.
     bases = files.select("file", (F.sum("_sum").over(Window.orderBy("file")) - F.col("_sum")).alias("_base"))
     within = Window.partitionBy("file").orderBy("row")
@@ -190,7 +220,7 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path).select("doc_id", "tokens", "file", "row", "n_tokens")
     kind = dict(rows.dtypes)["doc_id"]
     sums = rows.mapInArrow(_digest, f"doc_id {kind}, file int, row long, n_tokens long, ids_crc32 long")
-    return _placed(sums).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _placed(sums, spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def tokens_table(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
