@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ from .common import fresh, numbered, quoted, with_text
 
 SPACE = "▁"
 BATCH_CHARS = 1 << 19
-MOST_WORDS = 400_000
+#: Words whose ids are kept; about 200 bytes each.
+MOST_WORDS = 200_000
 NONE = np.float32(-np.inf)
 
 
@@ -68,8 +70,9 @@ class Model:
         self.forget()
 
     def forget(self) -> None:
+        #: Of each known word its number; word i has known[starts[i] : starts[i + 1]].
         self.number: dict[str, int] = {}
-        self.found: list[np.ndarray] = []
+        self.known, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All edges (position, length, piece), in the order of positions, over the text."""
@@ -101,8 +104,8 @@ class Model:
         at, piece = at[order], piece[order]
         return at, self.lengths[piece], piece
 
-    def _relax(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of each word."""
+    def _relax(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after another, and how many each has."""
         text = "".join(words)
         n = len(text)
         sizes = np.array([len(x) for x in words], np.int64)
@@ -163,20 +166,27 @@ class Model:
         begin = np.flatnonzero(alive)
         piece = edge[begin, after[begin] - begin]
         ids = np.where(piece >= 0, self.ids[piece], -1)
-        out: list[list[int]] = [[] for _ in words]
-        for word, b, i in zip(owner[begin].tolist(), begin.tolist(), ids.tolist(), strict=True):
-            if i >= 0:
-                out[word].append(i)
-            else:
-                out[word].extend(self.bytes_id[list(text[b].encode("utf-8", "surrogatepass"))].tolist())
-        return [np.array(x, np.int32) for x in out]
+        counts = np.ones(len(begin), np.int64)
+        missing = np.flatnonzero(ids < 0)
+        spelled = [self.bytes_id[list(text[b].encode("utf-8", "surrogatepass"))] for b in begin[missing].tolist()]
+        counts[missing] = [len(x) for x in spelled]
+        offsets = np.cumsum(counts) - counts
+        flat = np.repeat(ids, counts)
+        for at, x in zip(offsets[missing].tolist(), spelled, strict=True):
+            flat[at : at + len(x)] = x
+        return flat.astype(np.int32), np.bincount(owner[begin], weights=counts, minlength=len(words)).astype(np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        flat, offsets = self.encode_flat(texts)
+        return np.split(flat, offsets[1:-1]) if texts else []
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the offsets of the texts."""
         rows = [self.word.findall(SPACE + x.replace(" ", SPACE)) if x else [] for x in texts]
         if len(self.number) > MOST_WORDS:
             self.forget()
-        new = list({w for row in rows for w in row if w not in self.number})
+        new = list(set(chain.from_iterable(rows)).difference(self.number))
         at = 0
         while at < len(new):
             to, total = at, 0
@@ -184,16 +194,37 @@ class Model:
                 total += len(new[to])
                 to += 1
             group = new[at:to]
-            self.number.update(zip(group, range(len(self.found), len(self.found) + len(group)), strict=True))
-            self.found.extend(self._relax(group))
+            ids, sizes = self._relax(group)
+            self.number.update(zip(group, range(len(self.starts) - 1, len(self.starts) - 1 + len(group)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.known) + np.cumsum(sizes)])
+            self.known = np.concatenate([self.known, ids])
             at = to
-        none = np.empty(0, np.int32)
-        return [np.concatenate([self.found[self.number[w]] for w in row]) if row else none for row in rows]
+        n = sum(map(len, rows))
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(rows)), np.int64, n)
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.known[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
+        return ids, before[np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.decoded.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return _text(b"".join(map(self.decoded.__getitem__, ids)))
+
+    def decode_lists(self, lists: pa.ListArray) -> list[str]:
+        """The texts of lists of ids: the pieces of all lists are taken at once and lie behind one another."""
+        lists = lists.fill_null([]) if lists.null_count else lists
+        taken = pa.array(self.decoded, pa.large_binary()).take(lists.flatten())
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+        data = taken.buffers()[2].to_pybytes() if len(taken) and taken.buffers()[2] else b""
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        cuts = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)].tolist()
+        return [_text(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _text(data: bytes) -> str:
+    text = data.decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
 
 
 @cache
@@ -210,12 +241,10 @@ def _run(path: str, at: int, decode: bool):
                 part = batch.slice(low, 512)
                 columns = list(part.columns)
                 if decode:
-                    columns[at] = pa.array([own.decode(x or []) for x in columns[at].to_pylist()], pa.string())
+                    columns[at] = pa.array(own.decode_lists(columns[at]), pa.string())
                 else:
-                    rows = own.encode([x or "" for x in columns[at].to_pylist()])
-                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
-                    values = np.concatenate(rows) if rows else np.empty(0, np.int32)
-                    columns[at] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+                    ids, offsets = own.encode_flat([x or "" for x in columns[at].to_pylist()])
+                    columns[at] = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
     return run
