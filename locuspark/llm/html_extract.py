@@ -3,7 +3,8 @@
 A page is cut into blocks at the borders of block elements. Pass one decides
 blocks by themselves: blocks within menus, headers, footers, sidebars, adverts, forms,
 comments and the like are out; blocks with many link characters are out; long blocks
-with enough stop words, or long blocks of the page's article, are in. Short blocks
+with enough stop words, or long blocks of the page's article, are in. An element or class that names the article
+counts if it holds at least half of the long dense text; outside it such text is in, with short blocks within it, and all else is out. Short blocks
 and those between the bounds stay undecided. In pass two each of them takes the
 label of the nearest decided neighbours in its region of the page: before and after count by their
 distance, and at equal distance "in" wins within an article. A region
@@ -191,23 +192,51 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _is_dense(b: Block) -> bool:
+    words = b.text.lower().split()
+    return sum(w.strip(".,;:!?") in _STOPS for w in words) >= MIN_STOP_SHARE * len(words)
+
+
 def decide(found: list[Block]) -> None:
     """Pass one."""
-    top = max((b.article for b in found if not b.furniture), default=0)
+    own = [b for b in found if not b.furniture]
+    solid = {id(b): len(b.text) for b in own if len(b.text) >= LONG_CHARS and b.links <= MAX_LINK_SHARE * len(b.text) and _is_dense(b)}
+    # A container is the article only if it holds most of the long dense text.
+    top = 0
+    for level in sorted({b.article for b in own if b.article}, reverse=True):
+        if 2 * sum(solid.get(id(b), 0) for b in own if b.article >= level) >= sum(solid.values()):
+            top = level
+            break
     for b in found:
-        b.article = int(top > 0 and b.article == top)
+        b.article = int(top > 0 and b.article >= top)
         size = len(b.text)
-        if b.furniture or (top and not b.article):
+        if b.furniture:
             b.label = False
+        elif top and not b.article:
+            b.label = id(b) in solid
         elif b.links > MAX_LINK_SHARE * size:
             b.label = None if b.article and size >= LONG_CHARS else False
         elif size >= SHORT_CHARS:
-            words = b.text.lower().split()
-            dense = sum(w.strip(".,;:!?") in _STOPS for w in words) >= MIN_STOP_SHARE * len(words)
+            dense = _is_dense(b)
             if size >= LONG_CHARS and (dense or b.article) or dense and b.article:
                 b.label = True
             elif not b.article and not dense and size >= LONG_CHARS:
                 b.label = False
+    if top:
+        _join(own)
+
+
+def _join(own: list[Block]) -> None:
+    """Outside the article, blocks with few links between two that are in, or just before one, are in as well."""
+    last: int | None = None
+    for i, b in enumerate(own):
+        if b.article:
+            last = None
+        elif b.label:
+            for x in own[max(i - 1, 0) if last is None else last + 1 : i]:
+                if not x.article and x.links <= MAX_LINK_SHARE * len(x.text):
+                    x.label = True
+            last = i
 
 
 def inherit(found: list[Block]) -> None:

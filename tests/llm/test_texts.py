@@ -117,6 +117,15 @@ def test_html_article_by_its_class():
     assert main_text("<main><p>a</p><article><p>b</p></article><p>c</p></main>") == "b"
 
 
+def test_html_text_outside_of_a_named_container():
+    long = ("The man of the house is in the garden and the dog is at the gate with a ball. " * 3).strip()
+    assert main_text(f"<div class='post-title'>Head</div><div class=body><p>{long}</p></div>") == f"Head\n{long}"
+    assert main_text(f"<main><p>{long}</p><article><p>teaser</p></article><p>{long}</p></main>") == f"{long}\nteaser\n{long}"
+    links = "<p><a href=/x>a link that is long enough to be no short block at all, with the and of</a></p>"
+    page = f"<article><p>{long}</p><p>{long}</p></article>{links}<p>far</p><h2>Head</h2><p>{long}</p><p>After</p>"
+    assert main_text(page) == f"{long}\n{long}\nHead\n{long}"
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "", "", "y")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
