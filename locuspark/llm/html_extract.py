@@ -37,7 +37,13 @@ MIN_STOP_SHARE = 0.2
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select option button canvas audio video map".split())
+#: What these hold is not markup; an end tag that is missing takes the rest of the page.
+RAW = frozenset("script style iframe textarea title".split())
+#: What these hold is not text of the page; they end with their parent at the latest.
+DROPPED = frozenset("noscript template svg math object select option button canvas audio video map".split())
+#: Of those, the ones that may hold an article of their own, and the ones that an open p or li does not end through.
+HOLDS_ARTICLE = frozenset("noscript template svg math".split())
+BOUNDARY = HOLDS_ARTICLE | frozenset("object select button".split())
 OUT = frozenset("nav aside footer form menu dialog head".split())
 ARTICLE = {"article": 3, "main": 2}
 #: Class and id words of a container that holds the article where neither element is used.
@@ -106,6 +112,8 @@ def blocks(page: str) -> list[Block]:
     stack = [("", False, 0, 0, False)]
     regions = 0
     breaks = 0
+    # Where on the stack the outermost dropped element is.
+    drop: int | None = None
 
     def flush() -> None:
         nonlocal parts
@@ -127,9 +135,25 @@ def blocks(page: str) -> list[Block]:
                 return False
         return False
 
+    def ends_drop(name: str) -> bool:
+        """Whether a start tag ends the dropped element, whose end tag is missing then."""
+        root, parent = stack[drop][0], stack[drop - 1][0]
+        if name == "body" or (name in ARTICLE and root not in HOLDS_ARTICLE) or (root == "option" and name in ("option", "optgroup")):
+            return True
+        return root not in BOUNDARY and ((parent == "p" and name not in INLINE and name not in DROPPED) or parent == name == "li")
+
+    def holds(name: str) -> bool:
+        """Whether an end tag is that of an element around the dropped one."""
+        for x, *_ in reversed(stack[1:drop]):
+            if x == name:
+                return True
+            if x in ARTICLE and name not in ARTICLE and name not in ("body", "html"):
+                return False
+        return False
+
     at = 0
     while m := _TOKEN.search(page, at):
-        if m.start() > at:
+        if m.start() > at and drop is None:
             parts.append((page[at : m.start()], stack[-1][4]))
             if breaks and page[at : m.start()].strip():
                 breaks = 0
@@ -138,6 +162,8 @@ def blocks(page: str) -> list[Block]:
             continue
         name, ends = m[2].lower(), bool(m[1])
         if name in VOID:
+            if drop is not None:
+                continue
             if name == "br":
                 breaks += 1
                 parts.append((" ", False))
@@ -147,13 +173,36 @@ def blocks(page: str) -> list[Block]:
                 flush()
             continue
         if name in RAW and not ends:
-            # What these hold is not text; an end tag that is missing takes the rest of the page.
-            if m[3].endswith("/") and name in ("svg", "math", "iframe"):
+            if m[3].endswith("/") and name == "iframe":
                 continue
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             parts.append((" ", False))
             continue
+        if drop is not None:
+            if ends:
+                i = next((i for i in range(len(stack) - 1, drop - 1, -1) if stack[i][0] == name), None)
+                if i is not None:
+                    del stack[i:]
+                    if i == drop:
+                        drop = None
+                    continue
+                if not holds(name):
+                    continue
+            elif not ends_drop(name):
+                if not m[3].endswith("/"):
+                    if name == "option" and stack[-1][0] == "option":
+                        stack.pop()
+                    stack.append((name, True, *stack[-1][2:4], False))
+                continue
+            del stack[drop:]
+            drop = None
+        if name in DROPPED and not ends:
+            parts.append((" ", False))
+            if not (m[3].endswith("/") and name in ("svg", "math")):
+                drop = len(stack)
+                stack.append((name, True, *stack[-1][2:4], False))
+            continue
         if name in INLINE:
             if name == "a":
                 _, furniture, region, article, _ = stack[-1]
@@ -186,7 +235,9 @@ def blocks(page: str) -> list[Block]:
         if level > article:
             article, region, regions = level, regions + 1, regions + 1
         stack.append((name, furniture or _is_furniture(name, m[3], bool(article)), region, article, False))
-    if at < len(page):
+    if drop is not None:
+        del stack[drop:]
+    elif at < len(page):
         parts.append((page[at:], stack[-1][4]))
     flush()
     return out

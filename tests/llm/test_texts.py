@@ -126,6 +126,19 @@ def test_html_text_outside_of_a_named_container():
     assert main_text(page) == f"{long}\n{long}\nHead\n{long}"
 
 
+def test_html_elements_without_end_tag_end_with_their_parent():
+    article = "<article><p>text</p></article>"
+    assert main_text(f"<datalist><option value=a>A<option value=b>B</datalist>{article}<select><option>x</option></select>") == "text"
+    for name in ("button", "noscript", "object", "audio", "video", "canvas", "map", "template", "svg"):
+        assert main_text(f"<div><{name}>no</div>{article}") == "text", name
+        assert main_text(f"<article><p>one <{name}>no <b>no</b></{name}> two</p>three</article>") == "one two\nthree", name
+    for name in ("button", "object", "audio", "video", "canvas", "map"):
+        assert main_text(f"<body><{name}>no{article}") == "text", name
+    assert main_text("<article><p>one <video src=x>no<p>two <select><option>no<option>no</select> three") == "one\ntwo three"
+    assert main_text("<head><noscript>no<body><p>text") == "text"
+    assert main_text(f"<title>a<b>c</title>{article}<script>no {article}") == "text"
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "", "", "y")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
