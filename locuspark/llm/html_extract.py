@@ -3,7 +3,7 @@
 A page is cut into blocks at the borders of block elements. Pass one decides
 blocks by themselves: blocks within menus, headers, footers, sidebars, adverts, forms,
 comments and the like are out; blocks with many link characters are out; long blocks
-with enough stop words, or long blocks of the page's article, are in. An element or class that names the article
+with enough stop words, or long blocks of the page's article, are in; where no block of a page has enough, all long blocks count. An element or class that names the article
 counts if it holds at least half of the long dense text; outside it such text is in, with short blocks within it, and all else is out. Short blocks
 and those between the bounds stay undecided. In pass two each of them takes the
 label of the nearest decided neighbours in its region of the page: before and after count by their
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -245,13 +246,16 @@ def blocks(page: str) -> list[Block]:
 
 def _is_dense(b: Block) -> bool:
     words = b.text.lower().split()
-    return sum(w.strip(".,;:!?") in _STOPS for w in words) >= MIN_STOP_SHARE * len(words)
+    return sum(w.strip(string.punctuation) in _STOPS for w in words) >= MIN_STOP_SHARE * len(words)
 
 
 def decide(found: list[Block]) -> None:
     """Pass one."""
     own = [b for b in found if not b.furniture]
-    solid = {id(b): len(b.text) for b in own if len(b.text) >= LONG_CHARS and b.links <= MAX_LINK_SHARE * len(b.text) and _is_dense(b)}
+    linkless = [b for b in own if b.links <= MAX_LINK_SHARE * len(b.text)]
+    # In a language that the stop words do not cover no block is dense, and length alone counts.
+    known = any(len(b.text) >= SHORT_CHARS and _is_dense(b) for b in linkless)
+    solid = {id(b): len(b.text) for b in linkless if len(b.text) >= LONG_CHARS and (not known or _is_dense(b))}
     # A container is the article only if it holds most of the long dense text.
     top = 0
     for level in sorted({b.article for b in own if b.article}, reverse=True):
@@ -268,11 +272,8 @@ def decide(found: list[Block]) -> None:
         elif b.links > MAX_LINK_SHARE * size:
             b.label = None if b.article and size >= LONG_CHARS else False
         elif size >= SHORT_CHARS:
-            dense = _is_dense(b)
-            if size >= LONG_CHARS and (dense or b.article) or dense and b.article:
+            if id(b) in solid or b.article and (size >= LONG_CHARS or _is_dense(b)):
                 b.label = True
-            elif not b.article and not dense and size >= LONG_CHARS:
-                b.label = False
     if top:
         _join(own)
 

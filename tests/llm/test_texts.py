@@ -139,6 +139,19 @@ def test_html_elements_without_end_tag_end_with_their_parent():
     assert main_text(f"<title>a<b>c</title>{article}<script>no {article}") == "text"
 
 
+def test_html_of_languages_without_known_stop_words():
+    polish = ("Stary zamek stoi nad rzeką, a wokół niego rosną wysokie drzewa i kwiaty. " * 3).strip()
+    chinese = "古老的城堡矗立在河边，四周长满了高大的树木和美丽的花朵。" * 8
+    menu = "<p><a href=/x>link</a></p>"
+    for text in (polish, chinese):
+        assert main_text(f"<body>{menu}<p>{text}</p><p>{text}</p>{menu}</body>") == f"{text}\n{text}"
+        assert main_text(f"<div class=post-title>Head</div><div><p>{text}</p></div>") == f"Head\n{text}"
+    odd = ("the%%% man** of### xylophone, in|| a&&& house " * 5).strip()
+    english = ("The man of the house is in the garden and the dog is at the gate with a ball. " * 3).strip()
+    assert main_text(f"<body><p>{odd}</p>{menu}<p>{english}</p></body>") == f"{odd}\n{english}"
+    assert main_text(f"<body><p>{polish}</p><p>{english}</p>{menu}</body>") == f"{polish}\n{english}"
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "", "", "y")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
