@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -43,12 +44,17 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
 
+def _ends_as_letter(stem: str) -> bool:
+    """Whether the last character is still a letter after NFC and lower case, which take some letters apart into letter and mark."""
+    return stem.isascii() or unicodedata.normalize("NFC", stem)[-1].lower()[-1].isalpha()
+
+
 class Encoder:
     """Encodes texts with a file of the tokenizers library, part by part.
 
     With ``parts_safe``, " " and "\\n" are boundaries, a run of letters is one
-    pre-token, a run of ASCII punctuation after it begins another, and A-Z are
-    the same as a-z; otherwise texts are encoded whole. The library gives the
+    pre-token, a run of ASCII punctuation after it begins another unless the
+    last letter becomes letter and mark, and A-Z are the same as a-z; otherwise texts are encoded whole. The library gives the
     ids of each run of letters once; many runs go through one call, and the
     call's own numbering of pre-tokens must show one for each run.
     """
@@ -102,7 +108,7 @@ class Encoder:
         rest = {}
         for part in new:
             stem = part.rstrip(string.punctuation)
-            if stem and stem.isalpha():
+            if stem and stem.isalpha() and _ends_as_letter(stem):
                 low = stem.lower() if stem.isascii() else stem
                 if len(stem) == len(part) and low == part:
                     rest[part] = None

@@ -230,6 +230,16 @@ def test_encoder_of_unsafe_tokenizers_takes_whole_texts():
     assert whole.to_pylist() == token_output.Encoder(BPE).encode(pa.array(["a b", "", "C!"]), 2).to_pylist()
 
 
+def test_encoder_of_letters_that_become_letter_and_mark():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    texts = [f"{a}{c}{b}" for c in "\u0130\u0958\u09df\ufb2a\ufb2b\u00e9\u03a3\u6f22" for a in ("AL", "", "\u0130") for b in (",", "", ".. x", "!?", "a,", "'")]
+    got = token_output.Encoder(BPE).encode(pa.array([*texts, " ".join(texts)]), 2).to_pylist()
+    assert got == [[*x.ids, 2] for x in Tokenizer.from_file(BPE).encode_batch([*texts, " ".join(texts)], add_special_tokens=False)]
+    assert got[0] == [3558, 136, 229, 267, 2]
+
+
 def slow_pack(pieces, capacity):
     bins, out = [], []
     for length, source, cluster in pieces:
