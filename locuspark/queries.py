@@ -263,18 +263,20 @@ def _columnar(s: SparkSession, d: str) -> DataFrame:
 
 
 # F. Writing.
-def copied(name: str, kind: str, sql: str, select: str) -> None:
+def copied(name: str, kind: str, sql: str, select: str, rows: str = "true") -> None:
+    """``rows``: what the query gives of the copy, where its SQL has a part only."""
+
     def run(s: SparkSession, d: str) -> DataFrame:
         t = Tables(s, d)
         t.v.createOrReplaceTempView("v")
         path = t.made(f"{name}.{kind}", lambda path: t.engine.sql(f"COPY ({select}) TO '{path}' (FORMAT {kind})") and None)
-        return t.read(path) if kind == "gorz" else s.read.csv(path, sep="\t", header=True)
+        return (t.read(path) if kind == "gorz" else s.read.csv(path, sep="\t", header=True)).where(rows)
 
     query(name, sql)(run)
 
 
-copied("copy_gorz", "gorz", "SELECT chrom, pos, ref FROM v WHERE pos < 3000", "SELECT chrom, pos, ref FROM v WHERE pos < 3000 ORDER BY chrom, pos")
-copied("copy_gor", "gor", "SELECT chrom, CAST(pos AS STRING) AS pos, ref FROM v WHERE pos < 3000", "SELECT chrom, pos, ref FROM v WHERE pos < 3000 ORDER BY chrom, pos")
+copied("copy_gorz", "gorz", "SELECT chrom, pos, ref FROM v WHERE pos < 3000", "SELECT chrom, pos, ref FROM v ORDER BY chrom, pos", "pos < 3000")
+copied("copy_gor", "gor", "SELECT chrom, CAST(pos AS STRING) AS pos, ref FROM v WHERE pos < 3000", "SELECT chrom, pos, ref FROM v ORDER BY chrom, pos", "CAST(pos AS INT) < 3000")
 copied("copy_null_fields", "gorz", "SELECT chrom, pos, CASE WHEN ref = 'A' THEN '' ELSE ref END AS ref, coalesce(CASE WHEN alt = 'O' THEN '' ELSE alt END, '') AS alt FROM v", "SELECT chrom, pos, nullif(ref, 'A') AS ref, nullif(alt, 'O') AS alt FROM v ORDER BY chrom, pos")
 copied("copy_typed_text", "gorz", "SELECT chrom, pos, CAST(pos % 2 = 0 AS STRING) AS even, CAST(pos * CAST(0.5 AS DOUBLE) AS STRING) AS half FROM v", "SELECT chrom, pos, pos % 2 = 0 AS even, pos * 0.5D AS half FROM v ORDER BY chrom, pos")
 

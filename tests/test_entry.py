@@ -33,6 +33,24 @@ def test_against_sql(spark, name):
     assert sorted(map(str, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(str, want.fetchall()))
 
 
+@pytest.mark.parametrize(("name", "kind"), [("copy_gorz", "gorz"), ("copy_gor", "gor")])
+def test_copies_are_whole(spark, name, kind):
+    import duckdb
+
+    from locuspark import queries
+
+    sf = SF.replace("sf0.001", "sf0.01")  # positions reach 3000 here
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{sf}/lineitem.parquet'")
+    got = queries.QUERIES[name](spark, sf)
+    rows = lambda df: sorted((r.chrom, int(r.pos), r.ref) for r in df.collect())
+    assert rows(got) == sorted((c, int(p), r) for c, p, r in con.execute(queries.SQL[name]).fetchall())
+    t = queries.Tables(spark, sf)
+    path = t.made(f"{name}.{kind}", None)
+    copy = t.read(path) if kind == "gorz" else spark.read.csv(path, sep="\t", header=True)
+    assert rows(copy) == rows(t.v) and len(rows(copy)) > got.count()
+
+
 def test_the_rest_stands_without_the_corpus_operators():
     import subprocess
 
