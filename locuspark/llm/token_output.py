@@ -9,18 +9,19 @@ The position of a document among all ids is the sum of its file's base and its p
 one row for each file.
 
 The library encodes every distinct part of the texts once and an encoder keeps the result for later rows, up to a
-bound. That is exact for tokenizers with the boundaries that ``Encoder`` names; the tests compare it with the
-library's encoding of whole texts.
+bound. A part is what stands between two spaces or line feeds, and whether parts may be encoded apart is read from the tokenizer's file
+(``separable``); the tests compare the ids with the library's encoding of whole texts.
 
-Defined results: a null or empty text has the end id alone; rows that repeat a doc_id are ordered by a hash of their
-text; a null doc_id comes first; an empty table gives an empty result; other columns are not written.
+Defined results: a null or empty text has the end id alone; a very long text is one row, whose ids take up to four bytes a
+character of memory; rows that repeat a doc_id are ordered by a hash of their
+text; a null doc_id comes first; an empty table gives an empty result; other columns, whatever their names, are neither read nor written.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import string
-import unicodedata
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -38,32 +39,59 @@ from .common import quoted, scratch_path, with_text
 END_ID = 2
 #: Parts kept by an encoder; it starts anew beyond that. About 250 bytes each.
 MOST_PARTS = 500_000
+#: Parts in one call of the library.
+CALL = 1024
 #: Rows encoded at once.
 SLICE = 1024
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
 
-def _ends_as_letter(stem: str) -> bool:
-    """Whether the last character is still a letter after NFC and lower case, which take some letters apart into letter and mark."""
-    return stem.isascii() or unicodedata.normalize("NFC", stem)[-1].lower()[-1].isalpha()
+# The pre-tokenization for which ``separable`` holds, as tokenizer files state it.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ("NFC", "Lowercase", "Replace")
+
+
+def _steps(spec: dict | None, inner: str) -> list[dict]:
+    """The members of a sequence, or the one step there is."""
+    if spec is None:
+        return []
+    return spec[inner] if spec["type"] == "Sequence" else [spec]
+
+
+def separable(spec: dict) -> bool:
+    """Whether the parts of a text between " " and line feed can be encoded apart, by what a tokenizer file says.
+
+    NFC joins nothing to a space, lower case acts on single characters, runs of white space become one space, the pattern drops white
+    space and matches none, added tokens hold none and take none from beside them: no step looks across a space.
+    """
+    changes = _steps(spec.get("normalizer"), "normalizers")
+    cuts = _steps(spec.get("pre_tokenizer"), "pretokenizers")
+    return (
+        all(x["type"] in NORMALIZERS and (x["type"] != "Replace" or (x["pattern"], x["content"]) == ({"Regex": r"\s+"}, " ")) for x in changes)
+        and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["pattern"], cuts[0]["behavior"], cuts[0]["invert"]) == ({"Regex": PRE_TOKEN}, "Removed", True)
+        and not cuts[1]["add_prefix_space"]
+        and not cuts[1]["use_regex"]
+        and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or re.search(r"\s", x["content"]) for x in spec.get("added_tokens", ()))
+        and spec["model"]["type"] == "BPE"
+        and not spec["model"].get("dropout")
+    )
 
 
 class Encoder:
-    """Encodes texts with a file of the tokenizers library, part by part.
+    """Encodes texts with a file of the tokenizers library.
 
-    With ``parts_safe``, " " and "\\n" are boundaries, a run of letters is one
-    pre-token, a run of ASCII punctuation after it begins another unless the
-    last letter becomes letter and mark, and A-Z are the same as a-z; otherwise texts are encoded whole. The library gives the
-    ids of each run of letters once; many runs go through one call, and the
-    call's own numbering of pre-tokens must show one for each run.
+    Where the file is ``separable``, every distinct part of the texts between " " and line feeds goes through the library as it
+    stands, many in one call; the offsets of the call's tokens say which part they belong to. Otherwise texts are encoded whole.
     """
 
-    def __init__(self, path: str, parts_safe: bool = True):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.safe = Tokenizer.from_file(path), parts_safe
+        self.tokenizer = Tokenizer.from_file(path)
+        self.safe = separable(json.loads(self.tokenizer.to_str()))
         self.forget()
 
     def forget(self) -> None:
@@ -84,46 +112,19 @@ class Encoder:
         self.number.update(zip(parts, range(first, first + len(parts)), strict=True))
         self.used = total
 
-    def _whole(self, parts: list[str]) -> None:
-        if parts:
-            found = [x.ids for x in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-            sizes = np.array([len(x) for x in found], np.int64)
-            self._add(parts, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
-
-    def _letters(self, runs: list[str]) -> None:
-        for at in range(0, len(runs), 1024):
-            group = runs[at : at + 1024]
+    def _learn(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), CALL):
+            group = parts[at : at + CALL]
             x = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            words = np.array(x.word_ids, np.int64)
-            sizes = np.diff(np.flatnonzero(np.diff(words, prepend=-1, append=-1)))
-            if len(words) and words[-1] == len(group) - 1 == len(sizes) - 1:
-                self._add(group, np.array(x.ids, np.uint32), sizes)
-            else:
-                self._whole(group)
-
-    def _learn(self, new: list[str]) -> None:
-        """New parts; what they are made of becomes known as well."""
-        number = self.number
-        joined, stems, tails = [], [], []
-        rest = {}
-        for part in new:
-            stem = part.rstrip(string.punctuation)
-            if stem and stem.isalpha() and _ends_as_letter(stem):
-                low = stem.lower() if stem.isascii() else stem
-                if len(stem) == len(part) and low == part:
-                    rest[part] = None
-                else:
-                    joined.append(part)
-                    stems.append(low)
-                    tails.append(part[len(stem) :])
+            spans = np.fromiter(chain.from_iterable(x.offsets), np.int64).reshape(-1, 2)
+            ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+            of = np.searchsorted(ends, spans[:, 0], "right")
+            if (spans[:, 1] < ends[of]).all() and (of[1:] >= of[:-1]).all():
+                self._add(group, np.array(x.ids, np.uint32), np.bincount(of, minlength=len(group)))
             else:
-                rest[part] = None
-        unknown = dict.fromkeys(x for x in chain(rest, stems, tails) if x not in number)
-        self._letters([x for x in unknown if x.isalpha()])
-        self._whole([x for x in unknown if not x.isalpha()])
-        made = [(x, number[y], number[z]) for x, y, z in zip(joined, stems, tails, strict=True) if x not in number]
-        ids, sizes = self._take(np.array([x[1:] for x in made], np.int64).ravel())
-        self._add([x[0] for x in made], ids, sizes.reshape(-1, 2).sum(axis=1))
+                found = [x.ids for x in self.tokenizer.encode_batch(group, add_special_tokens=False)]
+                sizes = np.array([len(x) for x in found], np.int64)
+                self._add(group, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
 
     def _take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of parts by number, one after another, and how many each has."""
@@ -142,9 +143,7 @@ class Encoder:
         parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > MOST_PARTS:
             self.forget()
-        new = [x for x in parts if x not in self.number]
-        if new:
-            self._learn(new)
+        self._learn([x for x in parts if x not in self.number])
         numbers = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
         ids, sizes = self._take(numbers[coded.indices.to_numpy()])
         # One more id at the end of each text.
@@ -158,14 +157,14 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, parts_safe: bool) -> Encoder:
+def encoder(path: str) -> Encoder:
     """One for each Python worker, kept from task to task."""
-    return Encoder(path, parts_safe)
+    return Encoder(path)
 
 
-def _encode(path: str, end_id: int, parts_safe: bool):
+def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, parts_safe).encode
+        encode = encoder(path).encode
         for batch in batches:
             for at in range(0, len(batch), SLICE):  # ids take more room than text
                 part = batch.slice(at, SLICE)
@@ -177,13 +176,13 @@ def _encode(path: str, end_id: int, parts_safe: bool):
 
 
 def write_tokens(
-    docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, parts_safe: bool = True, row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES
+    docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES
 ) -> None:
     """Write (doc_id, tokens, n_tokens, file) to the folder ``path``, in ascending order over its files. ``file`` numbers the files in order."""
     rows = docs.select(quoted(id_col).alias("doc_id"), with_text(docs, text_col).alias("_text"))
     kind = dict(rows.dtypes)["doc_id"]
     ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("_text"))
-    encoded = ordered.mapInArrow(_encode(tokenizer, end_id, parts_safe), f"doc_id {kind}, tokens array<int>, n_tokens long")
+    encoded = ordered.mapInArrow(_encode(tokenizer, end_id), f"doc_id {kind}, tokens array<int>, n_tokens long")
     encoded = encoded.select("*", F.spark_partition_id().alias("file"), F.monotonically_increasing_id().alias("row"))
     options = {
         "parquet.writer.version": "PARQUET_2_0",

@@ -218,28 +218,83 @@ def test_token_files_have_page_indexes_and_encodings(odd, spark, tmp_path):
     token_output.write_tokens(odd, f"file://{tmp_path}/t", BPE)
     meta = pq.ParquetFile(max(glob.glob(f"{tmp_path}/t/*.parquet"))).metadata.row_group(0)
     columns = {meta.column(i).path_in_schema: meta.column(i) for i in range(meta.num_columns)}
-    assert all(c.has_offset_index and c.has_column_index for n, c in columns.items() if "tokens" not in n.split(".")[0] or c.has_offset_index)
+    assert sorted(n.split(".")[0] for n in columns) == ["doc_id", "file", "n_tokens", "row", "tokens"]
+    assert all(c.has_offset_index and c.has_column_index for c in columns.values())
     assert any("DELTA" in e for e in columns["n_tokens"].encodings)
     assert any("DICTIONARY" in e for n, c in columns.items() if n.startswith("tokens") for e in c.encodings)
 
 
-def test_encoder_of_unsafe_tokenizers_takes_whole_texts():
-    import pyarrow as pa
+def whole(texts, path=BPE):
+    from tokenizers import Tokenizer
 
-    whole = token_output.Encoder(BPE, False).encode(pa.array(["a b", "", "C!"]), 2)
-    assert whole.to_pylist() == token_output.Encoder(BPE).encode(pa.array(["a b", "", "C!"]), 2).to_pylist()
+    return [[*x.ids, 2] for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
-def test_encoder_of_letters_that_become_letter_and_mark():
+def encoded(texts, path=BPE):
     import pyarrow as pa
-    from tokenizers import Tokenizer
 
+    return token_output.Encoder(path).encode(pa.array(texts), 2).to_pylist()
+
+
+def test_other_tokenizers_take_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a b", "", "C!", "two  spaces\n\n and <|endoftext|> more"]
+    assert token_output.Encoder(BPE).safe and not token_output.Encoder(path).safe
+    assert encoded(texts, path) == whole(texts, path)
+
+
+def test_what_makes_a_tokenizer_separable():
+    import copy
+    import json
+
+    spec = json.loads(open(BPE).read())
+    assert token_output.separable(spec)
+    changes = [
+        lambda x: x["added_tokens"][0].update(lstrip=True),
+        lambda x: x["added_tokens"][0].update(content="a b"),
+        lambda x: x["normalizer"]["normalizers"].append({"type": "Strip"}),
+        lambda x: x["normalizer"]["normalizers"][1].update(content="_"),
+        lambda x: x["pre_tokenizer"]["pretokenizers"][0].update(pattern={"Regex": ".+"}),
+        lambda x: x["pre_tokenizer"].update({"type": "Whitespace"}),
+        lambda x: x["model"].update(dropout=0.1),
+        lambda x: x.update(pre_tokenizer=None),
+    ]
+    for change in changes:
+        other = copy.deepcopy(spec)
+        change(other)
+        assert not token_output.separable(other)
+
+
+def test_encoder_of_letters_that_become_letter_and_mark():
     texts = [f"{a}{c}{b}" for c in "\u0130\u0958\u09df\ufb2a\ufb2b\u00e9\u03a3\u6f22" for a in ("AL", "", "\u0130") for b in (",", "", ".. x", "!?", "a,", "'")]
-    got = token_output.Encoder(BPE).encode(pa.array([*texts, " ".join(texts)]), 2).to_pylist()
-    assert got == [[*x.ids, 2] for x in Tokenizer.from_file(BPE).encode_batch([*texts, " ".join(texts)], add_special_tokens=False)]
+    got = encoded([*texts, " ".join(texts)])
+    assert got == whole([*texts, " ".join(texts)])
     assert got[0] == [3558, 136, 229, 267, 2]
 
 
+def test_encoder_over_all_characters_that_change():
+    """Every character that lower case or NFC makes longer or of another kind, marks, blanks and special tokens, in random company."""
+    import unicodedata
+
+    odd = []
+    for c in map(chr, range(0x110000)):
+        if 0xD800 <= ord(c) < 0xE000:
+            continue
+        low, form = c.lower(), unicodedata.normalize("NFC", c)
+        if len(low) > 1 or len(form) > 1 or form != c or unicodedata.category(low[0])[0] != unicodedata.category(c)[0] or (c.isspace() and ord(c) > 32):
+            odd.append(c)
+    assert "\u0130" in odd and len(odd) > 1000
+    rng = np.random.default_rng(3)
+    near = [*"aZ9.,'!-\u00e9\u0301\u0308\u0345\u200d\u6f22\u1100\u1161 \n\t\r\x00", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "  ", " \n"]
+    pick = lambda x, n: "".join(x[i] for i in rng.integers(0, len(x), n))
+    texts = [pick(near, 3) + c + pick(near, 3) for c in odd]
+    texts += [pick(odd, 3) + pick(near, 6) + pick(odd, 2) + pick(near, 3) for _ in range(5000)]
+    for at in range(0, len(texts), 2000):
+        group = texts[at : at + 2000]
+        for text, a, b in zip(group, encoded(group), whole(group), strict=True):
+            assert a == b, text.encode("unicode_escape")
+
+
 def slow_pack(pieces, capacity):
     bins, out = [], []
     for length, source, cluster in pieces:
