@@ -42,7 +42,7 @@ MOST_PARTS = 500_000
 #: Parts in one call of the library.
 CALL = 1024
 #: Rows encoded at once.
-SLICE = 1024
+SLICE = 2048
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
@@ -74,6 +74,7 @@ def separable(spec: dict) -> bool:
         and not cuts[1]["add_prefix_space"]
         and not cuts[1]["use_regex"]
         and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or re.search(r"\s", x["content"]) for x in spec.get("added_tokens", ()))
+        and any(x["type"] == "Lowercase" for x in changes)
         and spec["model"]["type"] == "BPE"
         and not spec["model"].get("dropout")
     )
@@ -82,8 +83,8 @@ def separable(spec: dict) -> bool:
 class Encoder:
     """Encodes texts with a file of the tokenizers library.
 
-    Where the file is ``separable``, every distinct part of the texts between " " and line feeds goes through the library as it
-    stands, many in one call; the offsets of the call's tokens say which part they belong to. Otherwise texts are encoded whole.
+    Where the file is ``separable``, every distinct part of the texts between " " and line feeds, after ``_spaced``, goes through the library,
+    many in one call; the offsets of the call's tokens say which part they belong to. Otherwise texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -91,7 +92,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.safe = separable(json.loads(self.tokenizer.to_str()))
+        spec = json.loads(self.tokenizer.to_str())
+        self.safe = separable(spec)
+        #: Texts with a mark, which NFC may join to an ASCII letter, or with an added token in any case.
+        self.tied = "|".join([r"\p{M}", *(f"(?i:{re.escape(x['content'])})" for x in spec.get("added_tokens", ()))])
         self.forget()
 
     def forget(self) -> None:
@@ -101,6 +105,15 @@ class Encoder:
         self.starts = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """Texts with the same ids and fewer distinct parts: A-Z in lower case, a space where ASCII punctuation follows a-z.
+
+        Lower case is a step of the tokenizer, and there its pattern ends a match whatever stands before or after:
+        none of its alternatives goes on from a letter to punctuation.
+        """
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([!-/:-@\[-`{-~])", r"\1 \2")
+        return pc.if_else(pc.match_substring_regex(texts, self.tied), texts, spaced)
+
     def _add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         first, total = len(self.number), self.used + len(ids)
         while total > len(self.ids):
@@ -138,7 +151,7 @@ class Encoder:
         if not self.safe:
             rows = [[*self.tokenizer.encode(x, add_special_tokens=False).ids, end_id] for x in texts.to_pylist()]
             return pa.array(rows, pa.list_(pa.int32()))
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        lists = pc.split_pattern(pc.replace_substring(self._spaced(texts), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > MOST_PARTS:
