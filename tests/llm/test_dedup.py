@@ -168,24 +168,76 @@ def test_simhash_of_nothing(none):
     assert near_duplicates(none).count() == 0
 
 
-@pytest.mark.parametrize(("window", "kmer"), [(35, 12), (5, 2), (8, 8)])
-def test_substrings(odd, window, kmer):
-    docs = [(d, t or "", WORD.findall(t or "")) for d, t in taken(odd)]
-    seen = Counter(tuple(w[i : i + window]) for _, _, w in docs for i in range(len(w) - window + 1))
+def slow_substrings(docs, window):
+    """docs: (id, text). Counts of (id, words that stay, words, words that go)."""
+    split = [(d, WORD.findall(t or "")) for d, t in docs]
+    seen = Counter(tuple(w[i : i + window]) for _, w in split for i in range(len(w) - window + 1))
     want = Counter()
-    for d, _, w in docs:
+    for d, w in split:
         gone = set()
         for i in range(len(w) - window + 1):
             if seen[tuple(w[i : i + window])] > 1:
                 gone.update(range(i, i + window))
         want[(d, " ".join(x for i, x in enumerate(w) if i not in gone), len(w), len(gone))] += 1
-    out = dedup_substrings(odd, window=window, kmer=kmer)
-    got = out.collect()
-    assert Counter((r.doc_id, " ".join(WORD.findall(r.text)), r.n_words, r.n_removed) for r in got) == want
+    return want
+
+
+def fast_substrings(df, **options):
+    return Counter((r.doc_id, " ".join(WORD.findall(r.text)), r.n_words, r.n_removed) for r in dedup_substrings(df, **options).collect())
+
+
+@pytest.mark.parametrize(("window", "kmer", "bits"), [(35, 12, 64), (5, 2, 64), (8, 8, 64), (12, 5, 9)])
+def test_substrings(odd, window, kmer, bits):
+    """With few bits hashes collide all the time, and words alone tell what repeats."""
+    docs = taken(odd)
+    want = slow_substrings(docs, window)
+    assert fast_substrings(odd, window=window, kmer=kmer, bits=bits) == want
     assert sum(x[3] for x in want) > 100
     # A text that loses nothing stays as it is, blanks included.
-    texts = Counter((d, t) for d, t, _ in docs)
-    assert all(texts[(r.doc_id, r.text)] for r in got if not r.n_removed)
+    texts = Counter((d, t or "") for d, t in docs)
+    assert all(texts[(r.doc_id, r.text)] for r in dedup_substrings(odd, window=window, kmer=kmer).collect() if not r.n_removed)
+
+
+def test_words_that_defeat_polynomial_hashes(spark):
+    """Thue-Morse strings and their complements have equal hashes modulo 2**64 whatever the base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    side = " ".join(f"w{i}" for i in range(17))
+    words = ["x", "y"]
+    while len(words) < 64:
+        words += [{"x": "y", "y": "x"}[w] for w in words]
+    swapped = [{"x": "y", "y": "x"}[w] for w in words]
+    docs = [(1, f"{side} {word} {side}"), (2, f"{side} {other} {side}"), (3, " ".join(words)), (4, " ".join(swapped)), (5, f"{side} {word} {side} end")]
+    got = fast_substrings(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got == slow_substrings(docs, 35)
+    assert {x[0]: x[3] for x in got} == {1: 35, 2: 0, 3: 0, 4: 0, 5: 35}
+
+
+@pytest.mark.parametrize("bits", [64, 7])
+def test_substrings_on_random_graphs(spark, bits):
+    """Few words make graphs with branches, loops and repeats within a document; copies make long paths."""
+    rng = np.random.default_rng(bits)
+    for vocabulary in (2, 30):
+        text = lambda n: " ".join(f"t{i}" for i in rng.integers(0, vocabulary, n))  # noqa: E731, B023
+        blocks = [text(n) for n in (7, 20, 60, 150)]
+        docs = [(i, " ".join(blocks[j] if j < 4 else text(9) for j in rng.integers(0, 8, 6))) for i in range(30)]
+        docs += [(40, "a " * 300), (41, "a b " * 40), (42, docs[3][1]), (42, docs[3][1]), (43, docs[3][1] + " end")]
+        got = fast_substrings(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), window=10, kmer=4, bits=bits)
+        assert got == slow_substrings(docs, 10)
+
+
+def test_paths_are_compact(spark):
+    """A passage that two documents share is one path, however many edges it has; where a third leaves it, it is cut."""
+    from locuspark.llm.substring_dedup import compact
+
+    rows = [(1, 0, e, 0, 3 * i, 3) for i, e in enumerate("abcdef")] + [(2, 0, e, 0, 100 + 3 * i, 3) for i, e in enumerate("abcdef")]
+    edges = lambda r: spark.createDataFrame([(d, t, ord(p), q, a, m) for d, t, p, q, a, m in r], "_doc long, _t long, _p long, _q long, _a int, _m int")
+    found = lambda r: sorted((x._doc, chr(x._p), x._a, x._e) for x in compact(edges(r)).collect())
+    assert found(rows) == [(1, "a", 0, 18), (2, "a", 100, 118)]
+    third = [(3, 0, "b", 0, 7, 3), (3, 0, "c", 0, 10, 3), (3, 0, "x", 0, 13, 3)]
+    assert found([*rows, *third]) == [(1, "a", 0, 3), (1, "b", 3, 9), (1, "d", 9, 18), (2, "a", 100, 103), (2, "b", 103, 109), (2, "d", 109, 118), (3, "b", 7, 13), (3, "x", 13, 16)]
 
 
 def test_substrings_of_nothing(none):
