@@ -5,21 +5,26 @@ the longest piece, indexes them; every piece's occurrences are one range of it,
 occurrences are the edges of the words' lattices: sorted by position they say which piece, if any, covers any run of characters. The
 lattices are then relaxed. For byte-pair models, whose piece scores are merge ranks, relaxing means applying the best edge
 that joins two neighbouring symbols, the leftmost of equals, until none is left, for all words at once;
-that gives the library's own ids, which a best-path search over rank scores would not. Characters without a piece become byte pieces.
+that gives the library's own ids, which a best-path search over rank scores would not. Where no edge goes across a position, the two sides
+have nothing to do with one another, so a word is cut there first; a long run without such a place is relaxed with a heap of its merges, in
+n log n steps. Characters without a piece become byte pieces.
 
 A word here is a run of "\\u2581" (white space) with what follows up to the next; no piece crosses its end, which is checked
 when a model is loaded (otherwise a text is one word). Characters that stand in no longer piece are words of their own.
 
-Each row is handled by itself, without a shuffle; working memory is bounded by ``batch_chars`` of distinct words, or one long word. Defined
+Each row is handled by itself, without a shuffle; working memory is that of BATCH_CHARS characters of distinct words, about 200 bytes each,
+however long a word is, unless it has a longer run in which pieces overlap everywhere (one letter repeated): then that of twice the run. Defined
 results: a null or empty text has no ids and decodes to the empty text; repeated rows give equal results; an empty table gives an empty result; other
-columns are kept. Decoding gives the text back except that "\\u2581" itself becomes a space, as in the library.
+columns are kept, and a new column whose name is taken gets an underscore in front. Decoding gives the text back except that "\\u2581" itself becomes a space, as in the library.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -33,6 +38,8 @@ SPACE = "▁"
 BATCH_CHARS = 1 << 19
 #: Words whose ids are kept; about 200 bytes each.
 MOST_WORDS = 200_000
+#: Runs of more characters are relaxed with a heap, one by one.
+LONG = 256
 NONE = np.float32(-np.inf)
 
 
@@ -104,21 +111,61 @@ class Model:
         at, piece = at[order], piece[order]
         return at, self.lengths[piece], piece
 
+    def _edges(self, text: str, ends: np.ndarray) -> np.ndarray:
+        """edge[position, length]: the piece, or -1; pieces that reach beyond ``ends`` of their position are left out."""
+        at, length, piece = self.occurrences(text)
+        inside = at + length <= ends[at]
+        edge = np.full((len(text) + 1, self.depth + 1), -1, np.int32)
+        edge[at[inside], length[inside]] = piece[inside]
+        return edge
+
+    @staticmethod
+    def _borders(edge: np.ndarray) -> np.ndarray:
+        """The positions at which no piece that lies in the text goes across: what stands on either side is relaxed by itself."""
+        n = len(edge) - 1
+        at, length = np.nonzero(edge[:, 2:] >= 0)
+        change = np.bincount(at + 1, minlength=n + 1) - np.bincount(at + length + 2, minlength=n + 1)
+        return np.flatnonzero(np.cumsum(change)[:n] == 0)
+
     def _relax(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after another, and how many each has."""
+        if len(words) == 1 and len(words[0]) > BATCH_CHARS:
+            return self._relax_long(words[0])
         text = "".join(words)
-        n = len(text)
         sizes = np.array([len(x) for x in words], np.int64)
         starts = np.cumsum(sizes) - sizes
+        edge = self._edges(text, np.repeat(starts + sizes, sizes))
+        ids, counts, begin = self._merge(text, edge, self._borders(edge))
+        owner = np.searchsorted(starts, begin, "right") - 1
+        return ids, np.bincount(owner, weights=counts, minlength=len(words)).astype(np.int64)
+
+    def _relax_long(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """One long word, from border to border in parts of about BATCH_CHARS; a part is longer only where no border is near."""
+        out, start, size = [], 0, BATCH_CHARS
+        while start < len(word):
+            part = word[start : start + size]
+            last = start + len(part) == len(word)
+            edge = self._edges(part, np.full(len(part), len(part)))
+            borders = self._borders(edge)
+            if not last:
+                # Pieces that begin in this part and end beyond it are not known yet.
+                known = borders[borders <= len(part) - self.depth + 1]
+                if len(known) < 2:
+                    size *= 2
+                    continue
+                part, borders = part[: known[-1]], known[:-1]
+            out.append(self._merge(part, edge[: len(part) + 1], borders)[0])
+            start, size = start + len(part), BATCH_CHARS
+        ids = np.concatenate(out)
+        return ids, np.array([len(ids)], np.int64)
+
+    def _merge(self, text: str, edge: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a text whose runs from ``starts`` on are relaxed apart; how many each symbol has, and where the symbols begin."""
+        n = len(text)
+        sizes = np.diff(np.append(starts, n))
         ends = np.repeat(starts + sizes, sizes)
-        at, length, piece = self.occurrences(text)
-        inside = at + length <= ends[at]
-        # edge[position, length]: the piece, or -1.
-        edge = np.full((n + 1, self.depth + 1), -1, np.int32)
-        edge[at[inside], length[inside]] = piece[inside]
         after = np.arange(1, n + 1)
         before = np.arange(-1, n - 1)
-        owner = np.repeat(np.arange(len(words)), sizes)
         score = np.full(n, NONE, np.float32)
 
         def rate(i: np.ndarray) -> None:
@@ -137,9 +184,13 @@ class Model:
             score[i] = value
 
         rate(np.arange(n))
-        live = np.arange(len(words))
+        for k in np.flatnonzero(sizes > LONG).tolist():
+            a, b = int(starts[k]), int(starts[k] + sizes[k])
+            after[a:b] = self._merge_one(edge[a:b], score[a:b]) + a
+            after[a:b][after[a:b] < a] = -1
+        live = np.flatnonzero((sizes > 1) & (sizes <= LONG))
         while len(live):
-            # The positions of the live words, word after word.
+            # The positions of the live runs, one after another.
             count = sizes[live]
             offsets = np.cumsum(count) - count
             flat = np.repeat(starts[live] - offsets, count) + np.arange(count.sum())
@@ -161,9 +212,7 @@ class Model:
             if len(previous):
                 rate(previous)
             after[gone] = -1
-        alive = np.ones(n, bool)
-        alive[after < 0] = False
-        begin = np.flatnonzero(alive)
+        begin = np.flatnonzero(after >= 0)
         piece = edge[begin, after[begin] - begin]
         ids = np.where(piece >= 0, self.ids[piece], -1)
         counts = np.ones(len(begin), np.int64)
@@ -174,7 +223,31 @@ class Model:
         flat = np.repeat(ids, counts)
         for at, x in zip(offsets[missing].tolist(), spelled, strict=True):
             flat[at : at + len(x)] = x
-        return flat.astype(np.int32), np.bincount(owner[begin], weights=counts, minlength=len(words)).astype(np.int64)
+        return flat.astype(np.int32), counts, begin
+
+    def _merge_one(self, edge: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Of one long run the next symbol after each, below zero for positions that begin none: merges wait in a heap, the best and of equals the leftmost first."""
+        n, width = len(edge), edge.shape[1]
+        flat, scores = array("i", np.ascontiguousarray(edge).tobytes()), array("f", self.scores.tobytes())
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        first = np.flatnonzero(score > NONE)
+        heap = list(zip((-score[first]).tolist(), first.tolist(), (first + 2).tolist(), strict=True))
+        heapify(heap)
+        while heap:
+            _, i, end = heappop(heap)
+            middle = after[i]
+            if middle < 0 or middle >= n or after[middle] != end:
+                continue  # one of the two has been merged since
+            after[i], after[middle] = end, -n - 1
+            if end < n:
+                before[end] = i
+                to = after[end]
+                if to - i < width and (p := flat[i * width + to - i]) >= 0:
+                    heappush(heap, (-scores[p], i, to))
+            j = before[i]
+            if j >= 0 and end - j < width and (p := flat[j * width + end - j]) >= 0:
+                heappush(heap, (-scores[p], j, end))
+        return np.array(after, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""

@@ -176,6 +176,38 @@ def test_sentencepiece_is_the_library(odd, none):
         assert own.encode([x])[0].tolist() == lib.encode(x)
 
 
+def test_long_words_are_the_library_and_take_time_in_proportion(monkeypatch):
+    """Words without a space: borders, the heap, and parts that are cut at borders or grow for want of one."""
+    import time
+
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = sentencepiece_codec.Model(PIECES)
+    rng = np.random.default_rng(8)
+    letters = lambda x, n: "".join(x[i] for i in rng.integers(0, len(x), n))
+    kinds = {
+        "letters": letters("abcdefghijklmnopqrstuvwxyz", 200_000),
+        "base64": letters("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 200_000),
+        "one": "a" * 200_000,
+        "few": letters("eanst", 200_000),
+        "chinese": letters("的一是不了人我在有他这中大来上国个到说们", 200_000),
+    }
+    seconds = {}
+    for name, text in kinds.items():
+        began = time.process_time()
+        got = own.encode([text])[0].tolist()
+        seconds[name] = time.process_time() - began
+        assert got == lib.encode(text), name
+    assert max(seconds.values()) < 20, seconds
+    for batch, long in ((64, 8), (200, 3), (1 << 19, 2), (50, 1 << 30)):
+        monkeypatch.setattr(sentencepiece_codec, "BATCH_CHARS", batch)
+        monkeypatch.setattr(sentencepiece_codec, "LONG", long)
+        own.forget()
+        for text in [*(x[:3000] for x in kinds.values()), letters("etaoin shrdlu\u00e9\u6f22\u2581\n", 4000)]:
+            assert own.encode([text, text[:99]])[0].tolist() == lib.encode(text)
+
+
 def test_occurrences_are_all_edges():
     own = sentencepiece_codec.Model(PIECES)
     text = "▁the▁then▁banana"
