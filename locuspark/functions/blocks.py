@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .pack7 import pack, unpack
 
@@ -153,11 +155,23 @@ class _Bytes:
 OFFSETS, STEPS, DIFFS8, DIFFS16, STRINGS, CONSTANT, LOOKUP_DIFFS = 5, 7, 12, 13, 21, 23, 25
 
 
-def _texts(numbers: np.ndarray) -> list[bytes]:
-    return [b"%d" % x for x in numbers.tolist()]
+def _texts(numbers: np.ndarray) -> pa.Array:
+    return pc.cast(pa.array(numbers), pa.string())
 
 
-def _column(kind: int, data: _Bytes, rows: int, table: list[bytes] | None) -> list[bytes]:
+def _strings(data: bytes, rows: int) -> pa.Array:
+    """The first strings of a run of NUL-terminated ones; bytes that are no UTF-8 become U+FFFD."""
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        text = data.decode("utf-8", "replace")
+    found = pc.split_pattern(pa.array([text], pa.large_string()), "\0").flatten()
+    if len(found) <= rows:
+        raise FormatError("truncated columnar block")
+    return found[:rows].cast(pa.string())
+
+
+def _column(kind: int, data: _Bytes, rows: int, table: list[bytes] | None) -> pa.Array:
     if kind == OFFSETS:
         base = data.numbers(">i8", 1).astype(np.int64)
         return _texts(base + data.numbers(">u1", rows))
@@ -168,21 +182,18 @@ def _column(kind: int, data: _Bytes, rows: int, table: list[bytes] | None) -> li
         start = data.numbers(">i8", 1).astype(np.int64)
         return _texts(start + np.cumsum(data.numbers(">i1" if kind == DIFFS8 else ">i2", rows).astype(np.int64)))
     if kind == STRINGS:
-        parts = data.take(data.number(">u4")).split(b"\0")
-        if len(parts) <= rows:
-            raise FormatError("truncated columnar block")
-        return parts[:rows]
+        return _strings(data.take(data.number(">u4")), rows)
     if kind == CONSTANT:
-        return [data.string()] * rows
+        return pa.repeat(pa.scalar(data.string().decode("utf-8", "replace"), pa.string()), rows)
     if kind == LOOKUP_DIFFS:
-        strings = table or []
-        at = np.cumsum(data.numbers(">i1", rows).astype(np.int64)).tolist()
-        return [strings[i] if 0 <= i < len(strings) else b"" for i in at]
+        strings = pa.array(["", *(x.decode("utf-8", "replace") for x in table or ())], pa.string())
+        at = np.cumsum(data.numbers(">i1", rows).astype(np.int64)) + 1
+        return strings.take(pa.array(np.where((at > 0) & (at < len(strings)), at, 0)))
     raise UnsupportedTypeIdError(f"columnar TYPEID {kind} not implemented yet")
 
 
-def decode_columns(data: bytes, tables: Tables) -> list[list[bytes]]:
-    """The cells of a columnar payload, column by column."""
+def decode_columns(data: bytes, tables: Tables) -> list[pa.Array]:
+    """The cells of a columnar payload as text, column by column."""
     source = _Bytes(data)
     rows = source.number(">u2")
     kinds = source.string()

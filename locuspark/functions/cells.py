@@ -68,8 +68,12 @@ def positions(texts: pa.Array) -> np.ndarray:
     return np.array([int_prefix(x, 64) or 0 for x in texts.to_pylist()], np.int64)
 
 
-def split_rows(data: bytes, n: int) -> list[pa.Array]:
-    """Rows of tab-separated cells as n string columns: short rows are padded, cells beyond n ignored, nothing is quoted or trimmed."""
+def split_rows(data: bytes, n: int, only: list[int] | None = None) -> dict[int, pa.Array]:
+    """Rows of n tab-separated cells as string columns by number: short rows are padded, cells beyond n ignored, nothing is quoted or trimmed.
+
+    ``only``: the columns that are asked for, at least one.
+    """
+    wanted = list(range(n)) if only is None else only
     if b"\r" not in data and data:
         try:
             names = [str(i) for i in range(n)]
@@ -77,15 +81,13 @@ def split_rows(data: bytes, n: int) -> list[pa.Array]:
                 pa.BufferReader(data if data.endswith(b"\n") else data + b"\n"),
                 read_options=pv.ReadOptions(use_threads=False, column_names=names, block_size=max(len(data) + 1, 1 << 16)),
                 parse_options=pv.ParseOptions(delimiter="\t", quote_char=False, double_quote=False, escape_char=False, newlines_in_values=False, ignore_empty_lines=False),
-                convert_options=pv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False),
+                convert_options=pv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False, include_columns=[names[i] for i in wanted]),
             )
-            return [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in table.columns]
+            return {i: c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for i, c in zip(wanted, table.columns, strict=True)}
         except pa.ArrowInvalid:
             pass  # rows of other widths, or bytes that are no UTF-8
     rows = [x.split("\t") for x in data.removesuffix(b"\n").decode("utf-8", "replace").split("\n")]
-    short = [""] * n
-    rows = [r if len(r) >= n else r + short[len(r) :] for r in rows]
-    return [pa.array([r[i] for r in rows], pa.string()) for i in range(n)]
+    return {i: pa.array([r[i] if i < len(r) else "" for r in rows], pa.string()) for i in wanted}
 
 
 def _float_text(value: float, digits: str) -> str:
@@ -141,12 +143,17 @@ def value_text(value, kind: pa.DataType, nested: bool = False) -> str:
     return str(value)
 
 
-def column_texts(column: pa.Array) -> list[str]:
-    kind = column.type
-    if pa.types.is_string(kind) or pa.types.is_large_string(kind):
-        return pc.fill_null(column, "").to_pylist()
-    if pa.types.is_integer(kind):
-        return pc.fill_null(pc.cast(column, pa.string()), "").to_pylist()
-    if pa.types.is_timestamp(kind) and kind.tz:
+def column_texts(column: pa.Array) -> pa.Array:
+    """The texts of a column; kinds that Arrow prints otherwise are printed once for each distinct value."""
+    kind, t = column.type, pa.types
+    if t.is_string(kind) or t.is_large_string(kind):
+        return pc.fill_null(column, "")
+    if t.is_integer(kind) or t.is_boolean(kind):
+        return pc.fill_null(pc.cast(column, pa.string()), "")
+    if t.is_timestamp(kind) and kind.tz:
         column = pc.cast(column, pa.timestamp("us", "UTC"))
-    return [value_text(x, kind) for x in column.to_pylist()]
+    if t.is_floating(kind) or t.is_temporal(kind) or t.is_decimal(kind):
+        coded = column.dictionary_encode()
+        texts = pa.array([value_text(x, column.type) for x in coded.dictionary.to_pylist()], pa.string())
+        return pc.fill_null(texts.take(coded.indices), "")
+    return pa.array([value_text(x, kind) for x in column.to_pylist()], pa.string())

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
-from ..sources.reader import GordSource, GorSource, GorzSource, PlainReader, TableSource
+from ..sources.reader import GordSource, GorSource, GorzSource, TableSource
 
 NAMES = ("f", "ff", "range", "source")
 
@@ -37,8 +37,8 @@ def _function(kind: type[TableSource]):
 
         def eval(self, path, f=None, ff=None, range=None, source=None) -> Iterator[tuple]:
             table = kind(_options(path, dict(zip(NAMES, (f, ff, range, source), strict=True))))
-            reader: PlainReader = table.reader(table.schema())
-            for part in PlainReader.partitions(reader):
+            reader = table.reader(table.schema())
+            for part in reader.partitions():
                 for batch in reader.read(part):
                     yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
 

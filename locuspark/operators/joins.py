@@ -42,3 +42,16 @@ def nearest_before(left: DataFrame, right: DataFrame, chrom: str, pos: str, valu
     carried = marks_and_bins.withColumn("_before", F.max("_last").over(before)).where("_q = 1").select("_c", "_b", "_before")
     joined = seen.join(carried, (F.col(chrom) == F.col("_c")) & (F.col("_bin") == F.col("_b")), "left")
     return joined.select(*names, F.coalesce("_here", "_before")["v"].alias(out))
+
+
+def previous_position(rows: DataFrame, chrom: str, pos: str, out: str, bin_size: int = 1 << 20) -> DataFrame:
+    """``rows`` with the position of the row before on the chromosome, null for the first; of equal positions all but one have their own.
+
+    As in ``nearest_before``, windows are over bins; the row before a bin's first is the last of the nearest earlier bin, from one row a bin.
+    """
+    binned = rows.withColumn("_bin", F.floor(F.col(pos) / bin_size))
+    lasts = binned.groupBy(F.col(chrom).alias("_c"), F.col("_bin").alias("_b")).agg(F.max(pos).alias("_last"))
+    carried = lasts.select("_c", "_b", F.lag("_last").over(Window.partitionBy("_c").orderBy("_b")).alias("_before"))
+    within = binned.withColumn("_here", F.lag(pos).over(Window.partitionBy(chrom, "_bin").orderBy(pos)))
+    joined = within.join(carried, F.col(chrom).eqNullSafe(F.col("_c")) & F.col("_bin").eqNullSafe(F.col("_b")), "left")
+    return joined.select(*rows.columns, F.coalesce("_here", "_before").alias(out))

@@ -181,8 +181,8 @@ class Scan:
     drop: frozenset[str] = frozenset()
 
 
-def scans(d: Dictionary, tags: Iterable[str], window: Window, conf: dict[str, str] | None = None) -> list[Scan]:
-    """The files to read for ``tags`` (none: all) within ``window``, in the order of their declared ranges.
+def scans(d: Dictionary, tags: Iterable[str], windows: list[Window], conf: dict[str, str] | None = None) -> list[Scan]:
+    """The files to read for ``tags`` (none: all) within one of the windows, in the order of their declared ranges.
 
     Rows of a deleted tag in a bucket are dropped however many tags are asked for, unless a live file of its own has the tag:
     such a file is read beside the bucket.
@@ -194,7 +194,7 @@ def scans(d: Dictionary, tags: Iterable[str], window: Window, conf: dict[str, st
         chosen = choose(d, asked, setting(FILE_SETTINGS, FILE_THRESHOLD, conf), setting(USAGE_SETTINGS, USAGE_PERCENT, conf))
     else:
         chosen = [e for e in d.entries if not e.deleted]
-    chosen = [e for e in chosen if e.overlaps(window)]
+    chosen = [e for e in chosen if any(e.overlaps(w) for w in windows)]
     chosen.sort(key=lambda e: e.span[0] if e.span else ("", 0))
     out = []
     for e in chosen:

@@ -7,7 +7,8 @@ block that starts in its range.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
@@ -16,13 +17,16 @@ import pyspark.sql.types as T
 from ..functions.blocks import FormatError, Header, block_key, parse_header
 from ..sources import files
 from ..sources.sidecars import BlockIndex, read_index, read_meta
-from .dictionary import DEFAULT_SOURCE, Dictionary, Entry
+from .dictionary import DEFAULT_SOURCE, Dictionary, Entry, Scan
 from .ranges import Window
 
 SPLIT_BYTES = 32 << 20
 PROBE = 1 << 14
-#: A task covers at least one range; many small files share a task beyond this number of tasks.
-MOST_TASKS = 4096
+#: What opening a file costs, in bytes that could be read instead.
+OPEN_BYTES = 4 << 20
+#: Files share a task only if there are enough of them for about this many tasks.
+FEW_TASKS = 256
+PLAN_THREADS = 32
 
 
 def read_header(f: BinaryIO) -> Header:
@@ -141,30 +145,76 @@ def first_block(probe: Probe, first: int, reached: Callable[[tuple[bytes, int]],
     return (block[0], block[2]) if block else (probe.size, probe.size)
 
 
-def window_bytes(path: str, window: Window) -> tuple[int, int]:
-    """The bytes of the blocks that can hold rows of a window with a chromosome."""
+def window_ranges(path: str, windows: list[Window]) -> list[tuple[int, int | None]]:
+    """The bytes of the blocks that can hold rows of the windows, as disjoint ranges in order; (0, None) is all of the file."""
+    if any(w.chrom is None for w in windows):
+        return [(0, None)]
+    found = []
     with files.open_bytes(path) as f:
         header = read_header(f)
         probe = Probe(f, files.size(path))
-        chrom = window.chrom.encode()
-        low, high = (chrom, window.low), (chrom, window.high)
         index: BlockIndex | None = read_index(path)
-        if index and index.ends[-1] <= probe.size:
-            return index.window(header.size, low, high)
-        start, _ = first_block(probe, header.size, lambda key: key >= low)
-        # Rows of a key may go on in the next block, so the last block is the first that is wholly beyond.
-        _, end = first_block(probe, header.size, lambda key: key > high)
-        return start, end
-
-
-def pieces(path: str, window: Window, split_bytes: int = SPLIT_BYTES) -> list[Piece]:
-    """The parts of one file."""
-    if window.empty:
-        return []
-    if window.chrom is not None:
-        start, end = window_bytes(path, window)
-    else:
-        start, end = 0, files.size(path)
-    count = max(1, (end - start) // max(split_bytes, 1))
-    cuts = [start + (end - start) * i // count for i in range(count + 1)]
-    return [Piece(path, a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+        indexed = index is not None and index.ends and index.ends[-1] <= probe.size
+        for w in windows:
+            chrom = w.chrom.encode()
+            low, high = (chrom, w.low), (chrom, w.high)
+            if indexed:
+                found.append(index.window(header.size, low, high))
+                continue
+            start, _ = first_block(probe, header.size, lambda key, to=low: key >= to)
+            # Rows of a key may go on in the next block, so the last block is the first that is wholly beyond.
+            _, end = first_block(probe, header.size, lambda key, to=high: key > to)
+            found.append((start, end))
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(x for x in found if x[0] < x[1]):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _cut(path: str, ranges: list[tuple[int, int]], split_bytes: int) -> list[Piece]:
+    out = []
+    for start, end in ranges:
+        count = max(1, (end - start) // max(split_bytes, 1))
+        cuts = [start + (end - start) * i // count for i in range(count + 1)]
+        out += [Piece(path, a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+    return out
+
+
+def pieces(path: str, windows: list[Window], split_bytes: int = SPLIT_BYTES) -> list[Piece]:
+    """The parts of one file that can hold rows of the windows."""
+    size = files.size(path)
+    return _cut(path, [(a, size if b is None else b) for a, b in window_ranges(path, windows)], split_bytes)
+
+
+def pieces_of_files(scans: list[Scan], windows: list[Window], split_bytes: int = SPLIT_BYTES) -> list[tuple[Scan, Piece]]:
+    """The parts of many files. The planner asks for the size of each; only files that are larger than a part are looked into, smaller ones by their tasks."""
+
+    def one(x: Scan) -> list[tuple[Scan, Piece]]:
+        try:
+            size = files.size(x.path)
+            if size > split_bytes:
+                return [(x, p) for p in pieces(x.path, windows, split_bytes)]
+        except OSError as e:
+            raise OSError(f"GORD entry: cannot open {x.path}") from e
+        return [(x, Piece(x.path, 0, size, any(w.chrom is not None for w in windows)))]
+
+    with ThreadPoolExecutor(PLAN_THREADS) as pool:
+        return [p for found in pool.map(one, scans) for p in found]
+
+
+def grouped(found: list[tuple[Scan, Piece]], split_bytes: int = SPLIT_BYTES) -> Iterator[list[tuple[Scan, Piece]]]:
+    """Neighbouring parts that one task reads, by their bytes and what opening a file costs: at most about ``split_bytes``, less if that leaves few tasks."""
+    costs = [(p.end or 0) - p.start + OPEN_BYTES for _, p in found]
+    most = min(split_bytes, max(OPEN_BYTES, sum(costs) // FEW_TASKS))
+    held, total = [], 0
+    for x, cost in zip(found, costs, strict=True):
+        if held and total + cost > most:
+            yield held
+            held, total = [], 0
+        held.append(x)
+        total += cost
+    if held:
+        yield held

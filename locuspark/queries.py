@@ -6,8 +6,7 @@ The fixture tables are made from ``lineitem`` (a genome-like table of 22 chromos
 
 from __future__ import annotations
 
-import os
-import tempfile
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .functions.blocks import COLUMNAR, ZSTD
-from .operators.joins import interval_join, nearest_before
+from .operators.joins import interval_join, nearest_before, previous_position
 from .operators.tables import write_dictionary, write_text
 from .session import Engine
+from .shared import shared_dir
 from .sources import files
+from .sources.writer import create, make_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,13 +69,10 @@ class Tables:
         """The path of a fixture, made at its first use in this session."""
         key = (self.spark.sparkContext.applicationId, self.sf, name)
         if key not in _made:
-            shared = self.spark.conf.get("spark.checkpoint.dir", None)
-            root = f"{shared.rstrip('/')}/tables" if shared else f"{tempfile.gettempdir()}/locuspark-{os.getuid()}"
-            root = root.removeprefix("file://")
-            folder = f"{root}/{key[0]}-{abs(hash(self.sf)):x}"
-            os.makedirs(folder, exist_ok=True)
-            make(f"{folder}/{name}")
-            _made[key] = f"{folder}/{name}"
+            path = f"{shared_dir(self.spark)}/tables/{key[0]}-{zlib.crc32(self.sf.encode()):08x}/{name}"
+            make_folder(path.rpartition("/")[0])
+            make(path)
+            _made[key] = path
         return _made[key]
 
     def write(self, df: DataFrame, **options: str) -> Callable[[str], None]:
@@ -108,7 +106,7 @@ def scan(name: str, sql: str, **options):
 
 # A. Scans and round trips.
 scan("gorz_roundtrip", f"SELECT {TEXT} FROM v")
-query("gorz_count", "SELECT count(*) AS n FROM v")(lambda s, d: (t := Tables(s, d)).read(t.file()).agg(F.count(F.lit(1)).alias("n")))
+query("gorz_count", "SELECT count(*) AS n FROM v")(lambda s, d: (t := Tables(s, d)).engine.sql(f"SELECT count(*) AS n FROM '{t.file()}'"))
 scan("gorz_projection", "SELECT chrom, qty FROM v", columns=["chrom", "qty"])
 scan("gorz_multi_partition_scan", f"SELECT {TEXT} FROM v", split_bytes="20000")
 
@@ -150,14 +148,14 @@ scan("range_chrom", f"SELECT {TEXT} FROM v WHERE chrom = 'chr7'", range="chr7")
 scan("range_window", f"SELECT {TEXT} FROM v WHERE chrom = 'chr7' AND pos BETWEEN 500 AND 4000", range="chr7:500-4000")
 scan("range_open_hi", f"SELECT {TEXT} FROM v WHERE chrom = 'chr10' AND pos >= 1000", range="chr10:1000-")
 scan("range_open_lo", f"SELECT {TEXT} FROM v WHERE chrom = 'chr10' AND pos <= 1000", range="chr10:-1000")
-scan("range_point", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos = 260", range="chr3:260")
-query("range_and_where", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos > 900")(lambda s, d: (t := Tables(s, d)).read(t.file(), range="chr3").where("pos > 900"))
+scan("range_point", f"SELECT {TEXT} FROM v WHERE chrom = 'chr1' AND pos = 68", range="chr1:68")
+query("range_and_where", f"SELECT {TEXT} FROM v WHERE chrom = 'chr3' AND pos > 900")(lambda s, d: (t := Tables(s, d)).read(t.file(), range="chr3", where="pos > 900"))
 scan("range_absent_chrom", f"SELECT {TEXT} FROM v WHERE chrom = 'chrZ'", range="chrZ")
 
 
 # C. Filters on the rows.
 def where(name: str, condition: str) -> None:
-    query(name, f"SELECT {TEXT} FROM v WHERE {condition}")(lambda s, d: (t := Tables(s, d)).read(t.file()).where(condition))
+    query(name, f"SELECT {TEXT} FROM v WHERE {condition}")(lambda s, d: (t := Tables(s, d)).read(t.file(), where=condition))
 
 
 where("where_chrom_eq", "chrom = 'chr5'")
@@ -170,12 +168,34 @@ where("where_nonkey", "qty = '7' AND ref = 'R'")
 where("where_contradiction", "chrom = 'chr1' AND chrom = 'chr2'")
 
 
+@query(
+    "scan_reused",
+    "SELECT 1 AS step, count(*) AS n FROM v UNION ALL SELECT 2, count(*) FROM v WHERE chrom = 'chr1' UNION ALL SELECT 3, count(*) FROM v WHERE chrom = 'chr2' AND pos < 900 "
+    "UNION ALL SELECT 4, count(*) FROM v WHERE pos BETWEEN 50 AND 90 UNION ALL SELECT 5, count(*) FROM v",
+)
+def _reused(s: SparkSession, d: str) -> DataFrame:
+    """One scan with a filter here and there, in one plan and through a view."""
+    t = Tables(s, d)
+    v = t.read(t.file())
+    v.createOrReplaceTempView("reused_scan")
+    n = lambda step, df: df.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"))
+    once = s.sql("SELECT * FROM reused_scan WHERE chrom = 'chr2' AND pos < 900")
+    return n(1, v).unionByName(n(2, v.where("chrom = 'chr1'"))).unionByName(n(3, once)).unionByName(n(4, v.where("pos BETWEEN 50 AND 90"))).unionByName(n(5, s.table("reused_scan")))
+
+
+@query("sql_two_uses", "SELECT (SELECT count(*) FROM v WHERE chrom = 'chr1') AS a, (SELECT count(*) FROM v) AS b, (SELECT max(pos) FROM v WHERE pn = 'PN2' AND chrom IN ('chr3', 'chr4')) AS c")
+def _two(s: SparkSession, d: str) -> DataFrame:
+    t = Tables(s, d)
+    x = t.file()
+    return t.engine.sql(f"WITH v AS (SELECT * FROM '{x}') SELECT (SELECT count(*) FROM v WHERE chrom = 'chr1') AS a, (SELECT count(*) FROM v) AS b, (SELECT max(pos) FROM '{x}' WHERE pn = 'PN2' AND chrom IN ('chr3', 'chr4')) AS c")
+
+
 # D. Dictionaries. pn is the tag, which files without a source column don't carry.
 DICT = "chrom, pos, ref, alt, qty, CAST(l_partkey AS STRING) AS l_partkey, pn AS Source"
 
 
-def tagged(name: str, condition: str, then: str = "true", **options) -> None:
-    query(name, f"SELECT {DICT} FROM v WHERE {condition}")(lambda s, d: (t := Tables(s, d)).read(t.dictionary(), **options).where(then))
+def tagged(name: str, condition: str, then: str | None = None, **options) -> None:
+    query(name, f"SELECT {DICT} FROM v WHERE {condition}")(lambda s, d: (t := Tables(s, d)).read(t.dictionary(), where=then, **options))
 
 
 tagged("gord_full_scan", "true")
@@ -255,7 +275,7 @@ def _columnar(s: SparkSession, d: str) -> DataFrame:
         names = b"".join(b"v%d\0" % i for i in range(7))
         table = struct.pack(">HBH", 1, 2, 7) + names
         body = struct.pack(">H", n) + bytes([23, 7, 25, 23, 0]) + b"chr1\0" + struct.pack(">qi", 0, 10) + struct.pack(f">{n}b", *diffs) + b"k\0"
-        with open(path, "wb") as f:
+        with create(path) as f:
             f.write(b"#chrom\tpos\tval\tkind\0" + pack(deflate(table, True)) + b"\n")
             f.write(b"chr1\t5000\t%c" % (COLUMNAR | ZSTD) + pack(deflate(body, True)) + b"\n")
 
@@ -296,9 +316,8 @@ def over(name: str, sql: str) -> Callable[[Callable[[DataFrame, Tables], DataFra
     return add
 
 
-over("agg_by_chrom", "SELECT chrom, count(*) AS n, min(pos) AS lo, max(pos) AS hi, CAST(sum(CAST(qty AS BIGINT)) AS BIGINT) AS qty FROM v GROUP BY chrom")(
-    lambda v, t: v.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.sum(F.col("qty").cast("long")).alias("qty"))
-)
+AGG = "SELECT chrom, count(*) AS n, min(pos) AS lo, max(pos) AS hi, CAST(sum(CAST(qty AS BIGINT)) AS BIGINT) AS qty FROM {} GROUP BY chrom"
+query("agg_by_chrom", AGG.format("v"))(lambda s, d: (t := Tables(s, d)).engine.sql(AGG.format(f"'{t.file()}'")))
 over("distinct_tags", "SELECT DISTINCT pn FROM v")(lambda v, t: v.select("pn").distinct())
 over("rollup_chrom_tag", "SELECT chrom, pn, count(*) AS n FROM v GROUP BY ROLLUP (chrom, pn)")(lambda v, t: v.rollup("chrom", "pn").agg(F.count(F.lit(1)).alias("n")))
 over("cube_ref_alt", "SELECT ref, alt, count(*) AS n FROM v GROUP BY CUBE (ref, alt)")(lambda v, t: v.cube("ref", "alt").agg(F.count(F.lit(1)).alias("n")))
@@ -307,7 +326,7 @@ over("window_rank_per_chrom", f"SELECT * FROM (SELECT chrom, pos, CAST(row_numbe
     lambda v, t: v.select("chrom", "pos", F.row_number().over(Window.partitionBy("chrom").orderBy(*[F.expr(x) for x in ORDER.split(", ")])).alias("rn")).where("rn <= 5")
 )
 over("window_lag_distance", "SELECT chrom, max(gap) AS widest FROM (SELECT chrom, pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) AS gap FROM v) GROUP BY chrom")(
-    lambda v, t: v.select("chrom", (F.col("pos") - F.lag("pos").over(Window.partitionBy("chrom").orderBy("pos"))).alias("gap")).groupBy("chrom").agg(F.max("gap").alias("widest"))
+    lambda v, t: previous_position(v.select("chrom", "pos"), "chrom", "pos", "before", bin_size=512).groupBy("chrom").agg(F.max(F.col("pos") - F.col("before")).alias("widest"))
 )
 over("topk_pos", f"SELECT {TEXT} FROM v ORDER BY pos DESC, chrom, pn, CAST(l_partkey AS BIGINT), qty, ref, alt LIMIT 20")(
     lambda v, t: v.orderBy(F.desc("pos"), "chrom", "pn", F.col("l_partkey").cast("long"), "qty", "ref", "alt").limit(20)

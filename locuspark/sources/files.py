@@ -42,7 +42,10 @@ def size(path: str) -> int:
     if not is_uri(path):
         return os.path.getsize(path)
     system, at = _place(path)
-    return system.get_file_info(at).size or 0
+    found = system.get_file_info(at).size
+    if found is None:
+        raise FileNotFoundError(path)
+    return found
 
 
 def read_all(path: str) -> bytes:

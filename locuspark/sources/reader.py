@@ -11,19 +11,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.blocks import COLUMNAR, ZSTD, FormatError, Tables, content, decode_columns, split_block
 from ..functions.cells import parse_column, positions, split_rows
 from ..plans import dictionary as D
 from ..plans import scan as S
+from ..plans.hints import Columns, Hint
 from ..plans.ranges import LEAST, MOST, Window, parse_range
 from . import files
 from .sidecars import read_tags
 
 BATCH_ROWS = 1 << 16
 READ_BYTES = 4 << 20
+#: Text of row blocks that is split into columns at once.
+SPLIT_TEXT = 1 << 20
 
 
 @dataclass
@@ -47,7 +50,11 @@ def parse_list(value: str | None) -> list[str]:
 
 
 class TableSource(DataSource):
-    """Options: path, f, ff, range, source, columns, split_bytes, pushdown, file_search_path; see README."""
+    """Options: path, f, ff, range, source, columns, split_bytes, pushdown, file_search_path; see README.
+
+    There is no ``pushFilters``: Spark keeps what it changes with the relation, and a later scan of the
+    same relation would be narrowed as well. What a query needs of a scan comes as the option ``hint`` (``plans.hints``).
+    """
 
     kind = "gorz"
 
@@ -82,19 +89,22 @@ class TableSource(DataSource):
     def _full_schema(self, path: str, d: D.Dictionary | None) -> T.StructType:
         return S.dictionary_schema(d, self.options.get("source")) if d else S.file_schema(path)
 
-    def schema(self) -> T.StructType:
+    def described(self) -> tuple[T.StructType, Columns]:
+        """The schema, and what ``plans.hints`` needs to know of the columns."""
         path = self._path()
         d, _, _ = self._check(path)
         full = self._full_schema(path, d)
-        names = parse_list(self.options.get("columns"))
-        return T.StructType([full[n] for n in names]) if names else full
+        names = parse_list(self.options.get("columns")) or full.names
+        return T.StructType([full[n] for n in names]), Columns(full.names, names, d is not None)
+
+    def schema(self) -> T.StructType:
+        return self.described()[0]
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         path = self._path()
         d, tags, window = self._check(path)
         full = self._full_schema(path, d)
-        kind = PlainReader if self.options.get("pushdown", "true").lower() == "false" else Reader
-        return kind(path, d, tags, window, full, schema, dict(self.options))
+        return Reader(path, d, tags, window, full, schema, dict(self.options))
 
     def writer(self, schema: T.StructType, overwrite: bool):
         from .writer import make_writer
@@ -114,83 +124,57 @@ class GorSource(TableSource):
     kind = "gor"
 
 
-class PlainReader(DataSourceReader):
-    """Reads without looking at filters."""
+class Reader(DataSourceReader):
+    """Reads the blocks that can hold rows of the range and the hint, and of these the rows that lie within both."""
 
     def __init__(self, path: str, d: D.Dictionary | None, tags: list[str], hard: Window, full: T.StructType, schema: T.StructType, options: dict[str, str]):
-        self.path, self.dictionary, self.tags, self.hard = path, d, tags, hard
-        self.soft = Window()
+        self.path, self.dictionary, self.tags = path, d, tags
+        self.hint = Hint() if options.get("pushdown", "true").lower() == "false" else Hint.of_option(options.get("hint"))
+        self.windows = self.hint.windows(hard)
         self.names, self.schema, self.options = full.names, schema, options
         self.kinds = list(to_arrow_schema(schema).types)
         self.wanted = [full.names.index(f.name) for f in schema.fields]
-        self.source_tags: set[str] | None = None
+        self.decoded = [self.hint.columns is None or f.name in self.hint.columns for f in schema.fields]
 
     def partitions(self) -> list[InputPartition]:
-        window = self.hard.meet(self.soft)
         split = int(self.options.get("split_bytes", S.SPLIT_BYTES))
-        if self.dictionary is None:
-            found = [(D.Scan(self.path), p) for p in S.pieces(self.path, window, split)]
-        elif window.empty:
+        if not self.windows:
             found = []
+        elif self.dictionary is None:
+            found = [(D.Scan(self.path), p) for p in S.pieces(self.path, self.windows, split)]
         else:
             tags = self.tags
-            if self.source_tags is not None:
+            if self.hint.tags is not None:
                 known = set(tags) or self.dictionary.valid_tags
                 # Only tags that the files' own columns can't add to: every live file with one tag of its own.
                 if all(len(e.tags) == 1 and not e.rows_tagged for e in self.dictionary.entries):
-                    tags = sorted(known & self.source_tags) or ["\0"]
-            plan = D.scans(self.dictionary, tags, window, self.options)
-            if window.chrom is not None or len(plan) > S.MOST_TASKS // 4:
-                # Tasks seek within their own files: the planner opens none.
-                found = [(x, S.Piece(x.path, seek=window.chrom is not None)) for x in plan]
-            else:
-                found = [(x, p) for x in plan for p in self._pieces(x, split)]
-        most = int(self.options.get("max_tasks", S.MOST_TASKS))
-        per = max(1, -(-len(found) // most))
+                    tags = sorted(known.intersection(self.hint.tags)) or ["\0"]
+            plan = D.scans(self.dictionary, tags, self.windows, self.options)
+            found = S.pieces_of_files(plan, self.windows, split)
         # Without partitions Spark would still read once, so there is always one.
-        return [Part(tuple(found[i : i + per])) for i in range(0, len(found), per)] or [Part()]
-
-    @staticmethod
-    def _pieces(x: D.Scan, split: int) -> list[S.Piece]:
-        try:
-            return S.pieces(x.path, Window(), split)
-        except OSError as e:
-            raise OSError(f"GORD entry: cannot open {x.path}") from e
+        return [Part(tuple(x)) for x in S.grouped(found, split)] or [Part()]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         for one, piece in getattr(partition, "scans", ()):
             yield from FileScan(self, one, piece).batches()
 
 
-class Reader(PlainReader):
-    """Reads the blocks that can hold rows for the filters on the key columns; Spark applies all filters again."""
-
-    def pushFilters(self, filters):
-        chrom, pos = self.names[0], self.names[1] if len(self.names) > 1 else None
-        for f in filters:
-            column = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
-            value = getattr(f, "value", None)
-            if column == chrom and isinstance(f, EqualTo) and isinstance(value, str):
-                self.soft = self.soft.meet(Window(value))
-            elif column == pos and isinstance(value, int) and not isinstance(value, bool):
-                bounds = {EqualTo: (value, value), GreaterThan: (value + 1, MOST), GreaterThanOrEqual: (value, MOST), LessThan: (LEAST, value - 1), LessThanOrEqual: (LEAST, value)}
-                if type(f) in bounds:
-                    self.soft = self.soft.meet(Window(None, *bounds[type(f)]))
-            elif self.dictionary is not None and column == self.names[-1]:
-                asked = {value} if isinstance(f, EqualTo) and isinstance(value, str) else {x for x in value if isinstance(x, str)} if isinstance(f, In) else None
-                if asked is not None:
-                    self.source_tags = asked if self.source_tags is None else self.source_tags & asked
-            yield f
-
-
 class FileScan:
     """The rows of one piece of a file as Arrow batches."""
 
-    def __init__(self, reader: PlainReader, one: D.Scan, piece: S.Piece):
+    def __init__(self, reader: Reader, one: D.Scan, piece: S.Piece):
         self.reader, self.scan, self.piece = reader, one, piece
-        self.window = reader.hard.meet(reader.soft)
         self.strict = reader.dictionary is not None
         self.width = len(reader.names)
+        # All windows have the same positions.
+        first = reader.windows[0] if reader.windows else Window()
+        self.chroms = None if first.chrom is None else pa.array([w.chrom for w in reader.windows], pa.string())
+        self.bounds = None if (first.low, first.high) == (LEAST, MOST) else (first.low, first.high)
+        self.needed = {i for i, on in zip(reader.wanted, reader.decoded, strict=True) if on} | {0}
+        if self.strict or self.bounds:
+            self.needed.add(1)
+        if one.rows_tagged:
+            self.needed.add(self.width - 1)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         try:
@@ -199,25 +183,12 @@ class FileScan:
             raise OSError(f"{'GORD entry: cannot open' if self.strict else 'read_gor: cannot open'} {self.piece.path}") from e
         with f:
             header = S.read_header(f)
-            start, end = self.piece.start, self.piece.end
-            if self.piece.seek:
-                start, end = S.window_bytes(self.piece.path, self.window)
+            ranges = S.window_ranges(self.piece.path, self.reader.windows) if self.piece.seek else [(self.piece.start, self.piece.end)]
             held: list[list[pa.Array]] = []
             rows = 0
-            tables: Tables | None = None
-            for line in self._blocks(f, header.size, start, end):
-                block = split_block(line)
-                data = content(block)
-                if block.flag & COLUMNAR:
-                    if tables is None:
-                        tables = Tables(header.tables, bool(block.flag & ZSTD))
-                    columns = [pa.array([x.decode("utf-8", "replace") for x in c], pa.string()) for c in decode_columns(data, tables)]
-                    columns = self._widened(columns)
-                else:
-                    columns = split_rows(data, len(header.columns))
-                    columns = self._widened(columns)
+            for columns in self._columns(f, header, ranges):
                 columns = self._filtered(columns)
-                if columns and len(columns[0]):
+                if len(columns[0]):
                     held.append(columns)
                     rows += len(columns[0])
                 if rows >= BATCH_ROWS:
@@ -226,6 +197,55 @@ class FileScan:
             if held:
                 yield self._batch(held)
 
+    def _columns(self, f, header, ranges: list[tuple[int, int | None]]) -> Iterator[list[pa.Array | None]]:
+        """The columns of the table from one block or several; None for those that nothing needs."""
+        tables: Tables | None = None
+        texts: list[bytes] = []
+        size = 0
+        count = len(header.columns)
+        places = self._places(count)
+        asked = [i for i in dict.fromkeys(places[k] for k in sorted(self.needed)) if i is not None and i >= 0]
+
+        def split() -> list[pa.Array | None]:
+            found = split_rows(b"\n".join(texts), count, asked or [0])
+            return self._placed(found, places)
+
+        for start, end in ranges:
+            for line in self._blocks(f, header.size, start, end):
+                block = split_block(line)
+                data = content(block)
+                if block.flag & COLUMNAR:
+                    if tables is None:
+                        tables = Tables(header.tables, bool(block.flag & ZSTD))
+                    if texts:  # rows stay in the order of the file
+                        yield split()
+                        texts, size = [], 0
+                    columns = decode_columns(data, tables)
+                    if columns and len(columns[0]):
+                        yield self._placed(dict(enumerate(columns)), self._places(len(columns)))
+                else:
+                    texts.append(data.removesuffix(b"\n"))
+                    size += len(data)
+                    if size >= SPLIT_TEXT:
+                        yield split()
+                        texts, size = [], 0
+        if texts:
+            yield split()
+
+    def _places(self, count: int) -> list[int | None]:
+        """Of each column of the table its place among ``count`` columns of a file: None is blank, -1 the tag that the dictionary has for the file."""
+        out: list[int | None] = [i if i < count else None for i in range(self.width)]
+        if self.strict and not self.scan.rows_tagged:
+            out[-1] = -1
+        elif self.scan.rows_tagged and count > self.width:
+            out[-1] = count - 1
+        return out
+
+    def _placed(self, found: dict[int, pa.Array], places: list[int | None]) -> list[pa.Array | None]:
+        n = len(next(iter(found.values())))
+        fixed = lambda text: pa.repeat(pa.scalar(text, pa.string()), n)
+        return [(fixed("") if at is None else fixed(self.scan.tag or "") if at < 0 else found[at]) if i in self.needed else None for i, at in enumerate(places)]
+
     def _blocks(self, f, first: int, start: int, end: int | None) -> Iterator[bytes]:
         """The blocks that start in [start, end), each without its line feed."""
         # One byte back: a block that starts exactly at a border belongs to the range it starts in.
@@ -257,44 +277,37 @@ class FileScan:
             if not chunk:
                 return
 
-    def _widened(self, columns: list[pa.Array]) -> list[pa.Array]:
-        """As many columns as the table has, with the source column of a dictionary last."""
-        n = len(columns[0]) if columns else 0
-        blank = lambda k: [pa.array([""] * n, pa.string())] * max(k, 0)
-        if not self.strict or self.scan.rows_tagged:
-            if self.scan.rows_tagged and len(columns) > self.width:
-                columns = [*columns[: self.width - 1], columns[-1]]
-            return (columns + blank(self.width - len(columns)))[: self.width]
-        own = (columns + blank(self.width - 1 - len(columns)))[: self.width - 1]
-        return [*own, pa.array([self.scan.tag or ""] * n, pa.string())]
-
-    def _filtered(self, columns: list[pa.Array]) -> list[pa.Array]:
-        keep: list[np.ndarray] = []
-        w = self.window
-        if self.strict and len(columns) > 1:
+    def _filtered(self, columns: list[pa.Array | None]) -> list[pa.Array | None]:
+        keep: list[pa.Array] = []
+        if self.strict and self.width > 1:
             ok = pc.match_substring_regex(columns[1], r"^-?\d+$")
             if not pc.all(ok).as_py():
                 raise FormatError(f"GORD entry: row without an integer position in {self.piece.path}")
-        if w.chrom is not None:
-            keep.append(pc.equal(columns[0], w.chrom).to_numpy(zero_copy_only=False))
-        if (w.low, w.high) != (LEAST, MOST):
+        if self.chroms is not None:
+            keep.append(pc.is_in(columns[0], self.chroms))
+        if self.bounds is not None:
             at = positions(columns[1])
-            keep.append((at >= w.low) & (at <= w.high))
+            keep.append(pa.array((at >= self.bounds[0]) & (at <= self.bounds[1])))
         if self.scan.rows_tagged:
             source = columns[-1]
             if self.scan.keep is not None:
-                keep.append(pc.is_in(source, pa.array(sorted(self.scan.keep), pa.string())).to_numpy(zero_copy_only=False))
+                keep.append(pc.is_in(source, pa.array(sorted(self.scan.keep), pa.string())))
             if self.scan.drop:
-                keep.append(~pc.is_in(source, pa.array(sorted(self.scan.drop), pa.string())).to_numpy(zero_copy_only=False))
+                keep.append(pc.invert(pc.is_in(source, pa.array(sorted(self.scan.drop), pa.string()))))
         if keep:
-            mask = np.logical_and.reduce(keep)
-            if not mask.all():
-                columns = [c.filter(pa.array(mask)) for c in columns]
+            mask = keep[0]
+            for x in keep[1:]:
+                mask = pc.and_(mask, x)
+            if not pc.all(mask).as_py():
+                columns = [None if c is None else c.filter(mask) for c in columns]
         return columns
 
-    def _batch(self, held: list[list[pa.Array]]) -> pa.RecordBatch:
+    def _batch(self, held: list[list[pa.Array | None]]) -> pa.RecordBatch:
+        rows = sum(len(x[0]) for x in held)
         out = []
-        for i, kind in zip(self.reader.wanted, self.reader.kinds, strict=True):
-            column = pa.concat_arrays([x[i] for x in held]) if len(held) > 1 else held[0][i]
-            out.append(parse_column(column, kind))
+        for i, kind, on in zip(self.reader.wanted, self.reader.kinds, self.reader.decoded, strict=True):
+            if on:
+                out.append(parse_column(pa.concat_arrays([x[i] for x in held]) if len(held) > 1 else held[0][i], kind))
+            else:
+                out.append(pa.nulls(rows, kind))
         return pa.RecordBatch.from_arrays(out, names=[f.name for f in self.reader.schema.fields])

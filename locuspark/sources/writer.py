@@ -8,6 +8,7 @@ result into place. A failed write leaves nothing.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import uuid
 from collections.abc import Iterator
@@ -17,13 +18,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.types as T
-from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions.blocks import BLOCK_BYTES, ZSTD, frame
 from ..functions.cells import column_texts
 from . import files
 from .sidecars import index_text
 
+#: What one process may join into one file.
+MOST_BYTES = 64 << 30
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -68,69 +71,112 @@ def make_writer(kind: str, options: dict[str, str], schema: T.StructType, overwr
 
 
 class Encoder:
-    """Sorted rows as blocks, or as lines of text; the order of the rows is checked."""
+    """Sorted rows as blocks, or as lines of text; the order of the rows is checked.
+
+    The lines of a batch are one run of bytes, put together column by column; blocks are cut from it by the lines' offsets.
+    """
 
     def __init__(self, out, packed: bool = True, flag: int = 0, block_bytes: int = BLOCK_BYTES):
         self.out, self.packed, self.flag, self.block_bytes = out, packed, flag, block_bytes
-        self.held: list[bytes] = []
-        self.size = self.offset = self.rows = 0
+        #: Lines, each with its line feed, that don't fill a block yet, and the key of the last.
+        self.held = b""
+        self.key = (b"", b"")
+        self.offset = self.rows = 0
         self.first: tuple[str, int] | None = None
         self.last: tuple[str, int] | None = None
         self.blocks: list[tuple[bytes, bytes, int]] = []
 
     def add(self, batch: pa.RecordBatch) -> None:
-        lines = self._lines(batch)
-        self.rows += len(lines)
+        self._check(batch)
+        self.rows += batch.num_rows
+        keys = [batch.column(0).cast(pa.string()), pc.cast(pc.cast(batch.column(1), pa.int64()), pa.string())]
+        texts = [*keys, *(column_texts(c) for c in batch.columns[2:])]
+        lines = pc.binary_join_element_wise(*[x.cast(pa.large_string()) for x in texts], pa.scalar("\t", pa.large_string()))
+        lines = pc.binary_join_element_wise(lines, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+        ends = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+        data = lines.buffers()[2].to_pybytes()[ends[0] : ends[-1]]
         if not self.packed:
-            self.out.write(b"\n".join(lines) + b"\n")
+            self.out.write(data)
             return
-        for line in lines:
-            self.held.append(line)
-            self.size += len(line) + 1
-            if self.size >= self.block_bytes:
-                self._flush()
+        ends = ends[1:] - ends[0]
+        start = row = 0
+        while row < len(ends):
+            # The first line with which the block is full.
+            row = int(np.searchsorted(ends, start - len(self.held) + self.block_bytes))
+            if row == len(ends):
+                break
+            self._flush(self.held + data[start : ends[row]], (keys[0][row].as_py().encode(), keys[1][row].as_py().encode()))
+            self.held, start, row = b"", int(ends[row]), row + 1
+        if start < len(data):
+            self.held += data[start:]
+            self.key = (keys[0][-1].as_py().encode(), keys[1][-1].as_py().encode())
 
     def finish(self) -> None:
         if self.held:
-            self._flush()
+            self._flush(self.held, self.key)
+            self.held = b""
 
-    def _flush(self) -> None:
-        last = self.held[-1].split(b"\t", 2)
-        data = frame(b"\n".join(self.held), last[0], last[1], self.flag)
+    def _flush(self, lines: bytes, key: tuple[bytes, bytes]) -> None:
+        data = frame(lines[:-1], *key, self.flag)
         self.out.write(data)
         self.offset += len(data)
-        self.blocks.append((last[0], last[1], self.offset))
-        self.held, self.size = [], 0
+        self.blocks.append((*key, self.offset))
 
-    def _lines(self, batch: pa.RecordBatch) -> list[bytes]:
+    def _check(self, batch: pa.RecordBatch) -> None:
         for i, name in enumerate(("chrom", "pos")):
             if batch.column(i).null_count:
                 raise ValueError(f"COPY to gor: {name} (column {i + 1}) must not be NULL")
-        chroms = batch.column(0).to_pylist()
         at = pc.cast(batch.column(1), pa.int64()).to_numpy(zero_copy_only=False)
-        codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        same = codes[1:] == codes[:-1]
-        for i in np.flatnonzero(~same | (at[1:] < at[:-1])).tolist():
-            in_order((chroms[i], int(at[i])), (chroms[i + 1], int(at[i + 1])))
-        first, last = (chroms[0], int(at[0])), (chroms[-1], int(at[-1]))
+        coded = batch.column(0).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        key = lambda i: (coded.dictionary[int(codes[i])].as_py(), int(at[i]))
+        for i in np.flatnonzero((codes[1:] != codes[:-1]) | (at[1:] < at[:-1])).tolist():
+            in_order(key(i), key(i + 1))
         if self.last is None:
-            self.first = first
+            self.first = key(0)
         else:
-            in_order(self.last, first)
-        self.last = last
-        texts = [chroms, list(map(str, at.tolist())), *(column_texts(c) for c in batch.columns[2:])]
-        return [x.encode() for x in map("\t".join, zip(*texts, strict=True))]
+            in_order(self.last, key(0))
+        self.last = key(len(at) - 1)
+
+
+class Delimiter:
+    """Rows of any columns as delimited lines, in the order in which they come."""
+
+    def __init__(self, out, sep: str):
+        self.out, self.sep = out, sep
+        self.rows = self.offset = 0
+        self.first = self.last = None
+        self.blocks: list = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        special = f'[{re.escape(self.sep)}"\n\r]'
+        cells = []
+        for column in batch.columns:
+            text = column_texts(column).cast(pa.string())
+            quoted = pc.binary_join_element_wise('"', pc.replace_substring(text, '"', '""'), '"', "")
+            cells.append(pc.if_else(pc.match_substring_regex(text, special), quoted, text))
+        lines = pc.binary_join_element_wise(*cells, self.sep) if len(cells) > 1 else cells[0]
+        data = "\n".join([*lines.to_pylist(), ""]).encode()
+        self.out.write(data)
+        self.rows += batch.num_rows
+
+    def finish(self) -> None:
+        pass
 
 
 class Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, packed: bool, options: dict[str, str], schema: T.StructType, overwrite: bool):
+    """``sep``: delimited text instead of the formats of this package."""
+
+    def __init__(self, path: str, packed: bool, options: dict[str, str], schema: T.StructType, overwrite: bool, sep: str | None = None):
         # Parts are on storage that driver and executors share, as the target is.
-        self.path, self.packed, self.names, self.overwrite = path, packed, schema.names, overwrite
+        self.path, self.packed, self.names, self.overwrite, self.sep = path, packed, schema.names, overwrite, sep
         folder, _, name = path.rpartition("/")
         self.scratch = f"{folder}/.{name}.{uuid.uuid4().hex}"
         self.flag = ZSTD if options.get("codec", "zlib") == "zstd" else 0
         self.index = options.get("index", "false").lower() == "true"
+        self.header = options.get("header", "true").lower() == "true" or sep is None
         self.block_bytes = int(options.get("block_bytes", BLOCK_BYTES))
+        self.most = int(options.get("max_file_bytes", MOST_BYTES))
         if not overwrite and files.exists(path) and files.size(path):
             raise FileExistsError(f"{path} is there already; use mode('overwrite')")
         make_folder(self.scratch)
@@ -143,7 +189,7 @@ class Writer(DataSourceArrowWriter):
         # Attempts of a task don't meet in one file.
         done.path = f"{self.scratch}/part-{done.part:06d}-{context.taskAttemptId() if context else 0}"
         with create(done.path) as out:
-            encoder = Encoder(out, self.packed, self.flag, self.block_bytes)
+            encoder = Encoder(out, self.packed, self.flag, self.block_bytes) if self.sep is None else Delimiter(out, self.sep)
             for batch in iterator:
                 if batch.num_rows:
                     encoder.add(batch)
@@ -155,8 +201,12 @@ class Writer(DataSourceArrowWriter):
         done = sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.part)
         try:
             for a, b in zip(done, done[1:], strict=False):
-                in_order(a.last, b.first)
-            header = "\t".join(self.names).encode() + b"\n"
+                if self.sep is None:
+                    in_order(a.last, b.first)
+            total = sum(files.size(m.path) for m in done)
+            if total > self.most:
+                raise ValueError(f"{total} bytes are too many for one file, which a single process joins (max_file_bytes is {self.most}); write a dictionary with operators.tables.write_dictionary")
+            header = (self.sep or "\t").join(self.names).encode() + b"\n" if self.header else b""
             joined = f"{self.scratch}/joined"
             entries, offset = [], len(header)
             with create(joined) as out:
@@ -177,6 +227,18 @@ class Writer(DataSourceArrowWriter):
         remove_folder(self.scratch)
 
 
+class DelimitedSource(DataSource):
+    """``locus_delimited``: one delimited text file, for COPY ... (FORMAT csv)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "locus_delimited"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> Writer:
+        path = self.options["path"]
+        return Writer(path if files.is_uri(path) else os.path.abspath(path), False, self.options, schema, overwrite, self.options.get("delimiter", ","))
+
+
 def _system(path: str):
     return files._place(path)
 

@@ -16,13 +16,13 @@ from pyspark.sql.datasource import DataSourceStreamReader, InputPartition
 from ..plans import dictionary as D
 from ..plans import scan as S
 from ..plans.ranges import Window
-from ..sources.reader import FileScan, GordSource, Part, PlainReader
+from ..sources.reader import FileScan, GordSource, Part, Reader
 
 
 class GordStreamReader(DataSourceStreamReader):
     def __init__(self, path: str, schema: T.StructType, full: T.StructType, options: dict[str, str], tags: list[str], window: Window):
         self.path, self.tags, self.window = path, set(tags), window
-        self.inner = PlainReader(path, D.load(path), tags, window, full, schema, options)
+        self.inner = Reader(path, D.load(path), tags, window, full, schema, options)
 
     def initialOffset(self) -> dict:
         return {"lines": 0}
@@ -33,7 +33,7 @@ class GordStreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         fresh = D.load(self.path).entries[start["lines"] : end["lines"]]
         wanted = [e for e in fresh if not e.deleted and (not self.tags or self.tags.intersection(e.tags)) and e.overlaps(self.window)]
-        return [Part(((D.Scan(e.path, None if e.rows_tagged else (e.tags or ("",))[0], e.rows_tagged, frozenset(self.tags) if self.tags and e.rows_tagged else None), S.Piece(e.path)),)) for e in wanted] or [Part()]
+        return [Part(((D.Scan(e.path, None if e.rows_tagged else (e.tags or ("",))[0], e.rows_tagged, frozenset(self.tags) if self.tags and e.rows_tagged else None), S.Piece(e.path, 0, None, self.window.chrom is not None)),)) for e in wanted] or [Part()]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         for one, piece in getattr(partition, "scans", ()):

@@ -17,7 +17,7 @@ def test_names_and_flagship(spark):
     assert entry.entry(spark).columns == ["chrom", "n", "lo", "hi", "qty"]
 
 
-@pytest.mark.parametrize("name", ["gorz_roundtrip", "gord_full_scan", "range_window", "where_in_residual", "asof_nearest_upstream", "copy_typed_text"])
+@pytest.mark.parametrize("name", ["gorz_roundtrip", "gord_full_scan", "range_window", "where_in_residual", "asof_nearest_upstream", "copy_typed_text", "scan_reused", "sql_two_uses", "window_lag_distance"])
 def test_against_sql(spark, name):
     import duckdb
 
@@ -51,6 +51,20 @@ def test_copies_are_whole(spark, name, kind):
     assert rows(copy) == rows(t.v) and len(rows(copy)) > got.count()
 
 
+def test_point_range_has_a_row(spark):
+    import __spark_entry__ as entry
+
+    assert entry.queries()["range_point"](spark, SF).count() > 0
+
+
+def test_a_missing_library_is_not_taken_for_missing_operators():
+    import subprocess
+
+    code = "import sys; sys.modules['xxhash'] = None\nimport __spark_entry__"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True)
+    assert out.returncode and "xxhash" in out.stderr
+
+
 def test_the_rest_stands_without_the_corpus_operators():
     import subprocess
 

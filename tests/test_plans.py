@@ -64,7 +64,7 @@ def test_choice_of_files(tags, want):
 
 
 def test_dropped_tags_stay_dropped_when_all_are_asked_for():  # DEV-2
-    (s,) = D.scans(D.parse(DICT, "/x/d.gord"), ["s1", "s2", "s3", "s4"], Window())
+    (s,) = D.scans(D.parse(DICT, "/x/d.gord"), ["s1", "s2", "s3", "s4"], [Window()])
     assert s.drop == {"s3"} and s.rows_tagged
 
 
@@ -87,16 +87,16 @@ def test_inline_tags():
 
 def test_untagged_lines_go_once_there_is_a_bucket():  # Q-14
     text = "a.gorz\t\nb.gorz|k.gorz\tt\n"
-    assert [s.path for s in D.scans(D.parse(text, "/d"), [], Window())] == ["/b.gorz"]
-    assert [s.path for s in D.scans(D.parse("a.gorz\t\nb.gorz\tt\n", "/d"), [], Window())] == ["/a.gorz", "/b.gorz"]
+    assert [s.path for s in D.scans(D.parse(text, "/d"), [], [Window()])] == ["/b.gorz"]
+    assert [s.path for s in D.scans(D.parse("a.gorz\t\nb.gorz\tt\n", "/d"), [], [Window()])] == ["/a.gorz", "/b.gorz"]
 
 
 def test_order_and_range_pruning():  # D10, F15
     text = "a.gorz\ta\tchr2\t1\tchr2\t9\nb.gorz\tb\tchr1\t5\tchr1\t9\nc.gorz\tc\n"
     d = D.parse(text, "/d.gord")
-    assert [s.path for s in D.scans(d, [], Window())] == ["/c.gorz", "/b.gorz", "/a.gorz"]
-    assert [s.path for s in D.scans(d, [], Window("chr1", 1, 4))] == ["/c.gorz"]
-    assert [s.path for s in D.scans(d, [], Window("chr1", 9, 9))] == ["/c.gorz", "/b.gorz"]
+    assert [s.path for s in D.scans(d, [], [Window()])] == ["/c.gorz", "/b.gorz", "/a.gorz"]
+    assert [s.path for s in D.scans(d, [], [Window("chr1", 1, 4)])] == ["/c.gorz"]
+    assert [s.path for s in D.scans(d, [], [Window("chr1", 9, 9)])] == ["/c.gorz", "/b.gorz"]
 
 
 def test_thresholds(monkeypatch):  # D8 and the halving of the share
@@ -107,9 +107,9 @@ def test_thresholds(monkeypatch):  # D8 and the halving of the share
     assert len(few) == 80
     assert len(D.choose(d, tags, 50)) == 10
     monkeypatch.setenv("GOR_BUCKET_INITIAL_USAGE_THRESHOLD", "10")
-    assert len(D.scans(d, tags, Window())) == 10
+    assert len(D.scans(d, tags, [Window()])) == 10
     monkeypatch.setenv("GOR_BUCKET_INITIAL_USAGE_THRESHOLD", "oops")
-    assert len(D.scans(d, tags, Window())) == 80
+    assert len(D.scans(d, tags, [Window()])) == 80
 
 
 @given(st.integers(0, 10**6))

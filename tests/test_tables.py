@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locuspark.functions.blocks import frame
-from locuspark.operators.joins import interval_join, nearest_before
+from locuspark.operators.joins import interval_join, nearest_before, previous_position
 from locuspark.plans import scan
 from locuspark.plans.ranges import Window, parse_range
 from locuspark.sources import files
@@ -99,6 +99,8 @@ def test_dictionary(engine, gord):
     assert engine.sql(f"SELECT count(*) FROM read_gord('{d}', f := ['s1','s2']) WHERE val = 'A'").first()[0] == 2
     assert engine.sql(f"SELECT count(*) FROM '{d}' WHERE Source = 's4'").first()[0] == 2
     assert engine.read_gor(d, source="PN").where("PN IN ('s1', 's4')").count() == 4
+    kept = engine.read_gor(d, source="PN", where="PN IN ('s1', 's4') AND pos < 50")  # F17
+    assert scans_of(kept)[0].tags == ["s1", "s4"] and rows(kept.select("pos").orderBy("pos")) == [(10,), (40,)]
 
 
 def test_table_functions(spark, g, gord):
@@ -117,6 +119,53 @@ def test_copy(engine, spark, tmp_path):  # W1-W4
     assert sorted(p.name for p in tmp_path.iterdir()) == ["g.gor", "g.gorz"]
 
 
+def test_copy_to_delimited_text(engine, spark, tmp_path):
+    rows = [(i, None if i % 3 == 0 else f"a,{i}", 'q"x\n' if i == 4 else "p", i / 4) for i in range(500)]
+    spark.createDataFrame(rows, "i int, s string, `t x` string, d double").repartitionByRange(4, "i").sortWithinPartitions("i").createOrReplaceTempView("cells")
+    engine.sql(f"COPY cells TO '{tmp_path}/x.csv'")
+    import csv
+
+    with open(tmp_path / "x.csv", newline="") as f:
+        got = list(csv.reader(f))
+    assert got == [["i", "s", "t x", "d"], *[[str(i), s or "", t, repr(d)] for i, s, t, d in rows]]
+    engine.sql(f"COPY (SELECT 's.gorz' AS f, 'tag' AS t) TO '{tmp_path}/m.gord' (FORMAT csv, DELIMITER '\t', HEADER false)")
+    assert (tmp_path / "m.gord").read_text() == "s.gorz\ttag\n"
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["m.gord", "x.csv"]
+
+
+def test_files_that_one_process_cannot_join_are_refused(engine, spark, tmp_path):
+    df = spark.range(2000).select(F.lit("chr1").alias("chrom"), F.col("id").alias("pos"))
+    with pytest.raises(Exception, match="write_dictionary"):
+        engine.write_gor(df.orderBy("pos"), f"{tmp_path}/x.gorz", max_file_bytes="100")
+    assert not list(tmp_path.iterdir())
+
+
+@pytest.mark.parametrize("size", [1, 7, 40, 1 << 15])
+def test_blocks_are_cut_at_the_first_line_that_fills_them(size):
+    """Against an encoder that goes line by line, over batches of any length."""
+    import io
+
+    import pyarrow as pa
+
+    from locuspark.sources.writer import Encoder
+
+    rng = random.Random(size)
+    rows = sorted((f"c{rng.randint(1, 3)}", rng.randint(0, 10**rng.randint(1, 12)), "x" * rng.randint(0, 30)) for _ in range(300))
+    out, made = io.BytesIO(), Encoder(io.BytesIO(), block_bytes=size)
+    made.out = out
+    for at in range(0, 300, 37):
+        made.add(pa.RecordBatch.from_pylist([dict(zip("cpv", r, strict=True)) for r in rows[at : at + 37]], pa.schema([("c", pa.string()), ("p", pa.int64()), ("v", pa.string())])))
+    made.finish()
+    want, held, total = b"", [], 0
+    for r in rows:
+        held.append("\t".join(map(str, r)).encode())
+        total += len(held[-1]) + 1
+        if total >= size or r is rows[-1]:
+            want += frame(b"\n".join(held), r[0].encode(), b"%d" % r[1])
+            held, total = [], 0
+    assert out.getvalue() == want and made.rows == 300 and made.first == rows[0][:2] and made.last == rows[-1][:2]
+
+
 @pytest.mark.parametrize(
     ("values", "message"),
     [
@@ -194,19 +243,19 @@ def test_windows_read_few_blocks_and_all_rows(engine, many, spec):  # S10, D13,
     want = [r for r in all_rows if r[0] == w.chrom and w.low <= r[1] <= w.high]
     for path in (plain, indexed):
         assert sorted(rows(engine.read_gor(path, range=spec))) == want
-        a, b = scan.window_bytes(path, w)
-        assert b - a <= files.size(path) * (len(want) / 600 + 0.1)
-    df = engine.read_gor(plain).where(f"chrom = '{w.chrom}' AND pos >= {max(w.low, 0)} AND pos <= {min(w.high, 99)}")
-    assert sorted(rows(df)) == want
+        assert sum(b - a for a, b in scan.window_ranges(path, [w])) <= files.size(path) * (len(want) / 600 + 0.1)
+    condition = f"chrom = '{w.chrom}' AND pos >= {max(w.low, 0)} AND pos <= {min(w.high, 99)}"
+    assert sorted(rows(engine.read_gor(plain).where(condition))) == want
+    assert sorted(rows(engine.read_gor(plain, where=condition))) == want
 
 
 def test_every_split_point(engine, many):  # S6, DEV-1
-    from locuspark.sources.reader import FileScan, GorzSource, PlainReader
+    from locuspark.sources.reader import FileScan, GorzSource, Reader
     from locuspark.plans.dictionary import Scan
 
     path, _, all_rows = many
     source = GorzSource({"path": path})
-    reader = PlainReader(path, None, [], Window(), source.schema(), source.schema(), {})
+    reader = Reader(path, None, [], Window(), source.schema(), source.schema(), {})
     size = files.size(path)
     data = files.read_all(path)
     starts = [i + 1 for i, b in enumerate(data) if b == 10 and i + 1 < size]
@@ -218,7 +267,7 @@ def test_every_split_point(engine, many):  # S6, DEV-1
         assert got == all_rows, cut
 
 
-@pytest.mark.parametrize("options", [{"split_bytes": "500"}, {"pushdown": "false"}, {"split_bytes": "700", "max_tasks": "3"}, {"columns": ["ref", "pos"]}])
+@pytest.mark.parametrize("options", [{"split_bytes": "500"}, {"pushdown": "false"}, {"split_bytes": "700", "where": "pos < 40 AND chrom IN ('chr1', 'chr2', 'chr10', 'chrX')"}, {"columns": ["ref", "pos"]}, {"columns": ["ref", "pos"], "where": "31 > pos"}])
 def test_plans_change_no_rows(engine, many, options):
     path, _, all_rows = many
     got = engine.read_gor(path, **options).where("pos < 30")
@@ -234,9 +283,128 @@ def test_bucket_only_is_primary_only(engine, gord, monkeypatch):
     assert got[0] == got[1] and len(got[0]) == 6
 
 
-def test_pushed_filters_reach_the_scan(engine, many):
-    df = engine.read_gor(many[0], split_bytes="400")
-    assert df.where("chrom = 'chr1' AND 5 > pos").rdd.getNumPartitions() < df.where("chrom = 'chr1'").rdd.getNumPartitions() < df.rdd.getNumPartitions()
+def tasks(df):
+    return df.rdd.getNumPartitions()
+
+
+def scans_of(df):
+    """The hint options of a plan's scans."""
+    from locuspark.plans.hints import Hint, _each
+
+    out = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "DataSourceV2ScanRelation":
+            out.append(Hint.of_option(node.relation().options().get("hint")))
+        for x in _each(node.children()):
+            walk(x)
+
+    plan = df._jdf.queryExecution().optimizedPlan()
+    for root in (plan, *_each(plan.subqueriesAll())):
+        walk(root)
+    return out
+
+
+@pytest.fixture
+def split(monkeypatch):
+    """Tiny files in several tasks."""
+    monkeypatch.setattr(scan, "OPEN_BYTES", 0)
+
+
+def test_conditions_prune_blocks(engine, many, split):  # F7
+    source = lambda **o: parts(many[0], **o)
+    full = len(source())
+    one = len(source(hint='[["chr1"], -9223372036854775808, 4, null, null]'))
+    two = len(source(hint='[["chr1", "chr2"], -9223372036854775808, 9223372036854775807, null, null]'))
+    assert one < two < full
+    hint = lambda q: scans_of(engine.sql(q.replace("$", f"'{many[0]}'")))[0]
+    assert (h := hint("SELECT ref FROM $ WHERE chrom = 'chr1' AND 5 > pos")).chroms == ["chr1"] and h.high == 4
+    assert hint("SELECT * FROM $ WHERE pos BETWEEN 5 AND 9 AND chrom IN ('chr1', 'chrX')").chroms == ["chr1", "chrX"]
+    assert hint("SELECT * FROM $ WHERE chrom = 'chr1' OR pos = 3").chroms is None
+    assert hint("SELECT chrom, count(*) FROM $ GROUP BY chrom").columns == ["chrom"]
+    assert hint("SELECT count(*) FROM $").columns == []
+    assert hint("SELECT chrom FROM $ WHERE ref > '3'").columns == ["chrom", "ref"]
+    assert scans_of(engine.read_gor(many[0], where="chrom = 'chr1'", columns=["ref", "chrom"]))[0].chroms == ["chr1"]
+
+
+def parts(path, **options):
+    from locuspark.sources.reader import GorzSource
+
+    source = GorzSource({"path": path, "split_bytes": "400", **options})
+    return [x for p in source.reader(source.schema()).partitions() for x in p.scans]
+
+
+@pytest.mark.parametrize("pushdown", ["true", "false"])
+def test_scans_that_are_used_again_keep_all_rows(engine, spark, many, pushdown):
+    """Filters of one use of a scan must not narrow another: reuse, union, self-join, views, subqueries, caching."""
+    path, _, all_rows = many
+    n = {c: sum(r[0] == c for r in all_rows) for c in ("chr1", "chr2")}
+    low = sum(5 <= r[1] <= 9 for r in all_rows)
+    df = engine.read_gor(path, pushdown=pushdown)
+    assert df.count() == 600
+    assert df.where("chrom = 'chr1'").count() == n["chr1"]
+    assert df.count() == 600
+    assert df.where("pos BETWEEN 5 AND 9").count() == low
+    assert df.count() == 600
+    assert df.where("chrom = 'chr1'").union(df.where("chrom = 'chr2'")).count() == n["chr1"] + n["chr2"]
+    a, b = df.where("chrom = 'chr1'").alias("a"), df.where("pos < 30").alias("b")
+    assert a.join(b, F.col("a.ref") == F.col("b.ref")).count() == sum(r[0] == "chr1" and r[1] < 30 for r in all_rows)
+    df.createOrReplaceTempView("reused")
+    assert spark.sql("SELECT count(*) FROM reused WHERE chrom = 'chr1'").first()[0] == n["chr1"]
+    assert spark.sql("SELECT count(*) FROM reused").first()[0] == 600
+    two = "SELECT (SELECT count(*) FROM {0} WHERE chrom = 'chr1') AS x, (SELECT count(*) FROM {0}) AS y"
+    for text in (spark.sql(two.format("reused")), engine.sql(two.format(f"'{path}'")), engine.sql(f"WITH t AS (SELECT * FROM '{path}') {two.format('t')}")):
+        assert tuple(text.first()) == (n["chr1"], 600)
+    once = engine.sql(f"SELECT * FROM '{path}' WHERE chrom = 'chr1'")
+    assert once.count() == n["chr1"] and once.where("pos < 30").count() < n["chr1"] and once.count() == n["chr1"] and df.count() == 600
+    filtered = engine.read_gor(path, where="chrom = 'chr1'", pushdown=pushdown)
+    assert filtered.where("pos BETWEEN 5 AND 9").count() < n["chr1"] == filtered.count()
+
+
+def test_columns_that_a_query_leaves_out_stay_out_of_reach(engine, many):
+    """They are not decoded, so nothing may resolve to them later."""
+    df = engine.sql(f"SELECT chrom FROM '{many[0]}'")
+    with pytest.raises(Exception, match="ref"):
+        df.where("ref = '5'").count()
+    with pytest.raises(Exception, match="ref"):
+        df.orderBy("ref").collect()
+
+
+def test_commands_over_literals(engine, spark, many):
+    engine.sql(f"CREATE OR REPLACE TEMP VIEW of_command AS SELECT * FROM '{many[0]}' WHERE pos > 30")
+    want = sum(r[1] > 30 for r in many[2])
+    assert spark.sql("SELECT count(*) FROM of_command").first()[0] == want
+    assert spark.sql("SELECT count(ref) FROM of_command WHERE chrom = 'chr1'").first()[0] < want
+    assert spark.sql("SELECT count(*) FROM of_command").first()[0] == want
+
+
+def test_dictionaries_are_cut_by_bytes(engine, many, tmp_path, split):
+    """Also with a chromosome and with many files; every row comes once."""
+    from pathlib import Path
+
+    from locuspark.sources.reader import GordSource
+
+    path, _, all_rows = many
+    lines = [f"{path}\tt{i}" for i in range(3)]
+    for i in range(300):
+        (tmp_path / f"s{i}.gorz").write_bytes(Path(path).read_bytes()[:200].rpartition(b"\n")[0] + b"\n")
+        lines.append(f"s{i}.gorz\ts{i}")
+    (tmp_path / "m.gord").write_text("\n".join(lines) + "\n")
+    d = str(tmp_path / "m.gord")
+
+    def planned(**options):
+        source = GordSource({"path": d, "split_bytes": "300", **options})
+        return source.reader(source.schema()).partitions()
+
+    assert max(sum(x[0].path == path for x in p.scans) for p in planned()) <= 2
+    assert len([x for p in planned(range="chr1") for x in p.scans if x[0].path == path]) > 3
+    for spec in ("", "chr1", "chr10:5-40"):
+        w = parse_range(spec)
+        want = sorted(r for r in all_rows if (w.chrom is None or r[0] == w.chrom) and w.low <= r[1] <= w.high)
+        got = engine.read_gor(d, range=spec, f=["t0", "t1", "t2"], split_bytes="1000")
+        assert sorted(rows(got.select("chrom", "pos", "ref"))) == sorted(want * 3)
+    small = engine.read_gor(d, range="chr1", split_bytes="1000").where("Source = 's7'")
+    assert rows(small) == rows(engine.read_gor(d, f=["s7"]))
 
 
 def test_interval_join_and_nearest_before(spark):
@@ -254,6 +422,22 @@ def test_interval_join_and_nearest_before(spark):
         assert got[i] == (near[1] if near else None)
 
 
+def test_previous_position(spark):
+    rng = random.Random(4)
+    points = sorted((rng.choice(["a", "b"]), rng.randint(0, 900)) for _ in range(150))
+    df = spark.createDataFrame(points, "c string, p int")
+    got = sorted((r.c, r.p, -1 if r.before is None else r.before) for r in previous_position(df, "c", "p", "before", 16).collect())
+    assert got == sorted((c, p, points[i - 1][1] if i and points[i - 1][0] == c else -1) for i, (c, p) in enumerate(points))
+
+
+def test_ranks_keep_few_rows_before_the_shuffle(engine, many):
+    """A chromosome's rows are cut to the first k in each task, so that none is sorted whole."""
+    from pyspark.sql.window import Window as W
+
+    df = engine.read_gor(many[0]).withColumn("rn", F.row_number().over(W.partitionBy("chrom").orderBy("pos", "ref"))).where("rn <= 5")
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_options_take_json_and_comma_lists(engine, gord):
     d = str(gord / "d.gord")
     for f in (json.dumps(["s1", None, "s2"]), "s1, s2,"):
