@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_dir
+
 #: ASCII white space, [\x20\x09-\x0D], as the contracts of the operators define it.
 BLANKS = " \t\n\x0b\x0c\r"
 #: The same words as a Java regular expression.
@@ -17,39 +21,43 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 1e-3
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+@dataclass
+class Run:
+    """The tables that one run of a pipeline has written to its own folder."""
+
+    folder: str
+    tables: list[str] = field(default_factory=list)
 
-    Where the setting is absent (local runs and tests) a temporary folder is
-    made once and set on the session.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='locuspark-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
 
+#: The run that this thread's tables belong to, if there is one.
+_run: ContextVar[Run | None] = ContextVar("run", default=None)
 
-#: Every table written by this process, in order; see ``sweep``.
-_written: list[str] = []
+
+@contextmanager
+def own_run(spark: SparkSession, name: str) -> Iterator[Run]:
+    """Within, intermediate tables go to a folder of their own, which other runs of the session neither see nor sweep."""
+    run = Run(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    token = _run.set(run)
+    try:
+        yield run
+    finally:
+        _run.reset(token)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _written[-1]
+    run = _run.get()
+    path = f"{run.folder if run else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if run:
+        run.tables.append(path)
+    return path
 
 
-def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
-    """Delete the tables written after the first ``since``, but for those of ``keep``; results that read them must have been written."""
+def sweep(spark: SparkSession, run: Run, *keep: DataFrame) -> None:
+    """Delete the tables of a run but for those of ``keep``; results that read them must have been written."""
     kept = {getattr(df, "scratch", None) for df in keep}
-    gone = [x for x in _written[since:] if x not in kept]
-    for path in gone:
+    for path in [x for x in run.tables if x not in kept]:
         _delete(spark, path)
-        _written.remove(path)
-
-
-def written() -> int:
-    return len(_written)
+        run.tables.remove(path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

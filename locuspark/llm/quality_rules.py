@@ -5,7 +5,7 @@ A rule names a figure and the bounds it must keep; ``verdict`` compiles a rule
 table into one boolean column.
 
 Defined results: a null text has no words; a text without words has ratios of 0 and
-fails the base rule; rows are judged one by one, so repeated rows get equal
+fails the base rule; a very long text is one row, whose lists of words and windows are in the memory of one task; rows are judged one by one, so repeated rows get equal
 results; an empty table gives an empty result; other columns are kept, and a figure whose name is taken gets an underscore in front.
 """
 
@@ -109,11 +109,24 @@ def figures(texts: DataFrame, text: str) -> DataFrame:
     return out.withColumn("n_repeat_words", pinned(F.size(covered)).cast("long")).drop("_w", "_ls", "_s")
 
 
+def _judged(docs: DataFrame, text_col: str, rules: Sequence[Rule], min_words: int, max_repeated: int) -> DataFrame:
+    """The columns of ``docs`` by number, the figures and the verdicts."""
+    out = figures(docs.select(*numbered(docs, text_col), with_text(docs, text_col).alias("_text"), quoted(text_col).alias("_given")), "_text")
+    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
+    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def _own(docs: DataFrame, text_col: str) -> list[Column]:
+    return [F.col("_given" if c == text_col else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]
+
+
 def quality_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED) -> DataFrame:
     """``docs`` with the figures, ``base_failed`` and ``kept``."""
     names = fresh(docs, *FIGURES, "base_failed", "kept")
-    out = figures(docs.select(*numbered(docs, text_col), with_text(docs, text_col).alias("_text"), quoted(text_col).alias("_given")), "_text")
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
-    out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
-    own = [F.col("_given" if c == text_col else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return out.select(*own, *[F.col(x).alias(n) for x, n in zip((*FIGURES, "base_failed", "kept"), names, strict=True)])
+    out = _judged(docs, text_col, rules, min_words, max_repeated)
+    return out.select(*_own(docs, text_col), *[F.col(x).alias(n) for x, n in zip((*FIGURES, "base_failed", "kept"), names, strict=True)])
+
+
+def keep_by_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with its columns alone."""
+    return _judged(docs, text_col, rules, min_words, max_repeated).where("kept").select(*_own(docs, text_col))

@@ -28,41 +28,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the columns that no operator here reads, so that none of their names can clash with a result's."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    network, prior = fit(docs, table(spark, sf_dir, "labels"))
+    docs = texts(spark, sf_dir)
+    network, prior = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return score(docs, network, prior)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_substrings(table(spark, sf_dir, "documents"))
+    out = dedup_substrings(texts(spark, sf_dir))
     kept = F.array_join(words_of(F.col("text")), " ")
     return out.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = members(table(spark, sf_dir, "documents"))
+    out = members(texts(spark, sf_dir))
     return out.select(F.col("_doc").alias("doc_id"), F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    out = dedup_lines(texts(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_duplicates(texts(spark, sf_dir))
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_tokens, the SHA-256 of the ids as text joined by spaces, and whether decoding them gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decode(encode(docs, model), model)
+    out = decode(encode(texts(spark, sf_dir), model), model)
     given = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     return out.select(
         "doc_id",
@@ -73,16 +77,16 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokens_table(texts(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules(table(spark, sf_dir, "documents"))
+    out = quality_rules(texts(spark, sf_dir))
     return out.select("doc_id", *BASE, "base_failed", "kept")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
