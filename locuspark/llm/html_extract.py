@@ -3,16 +3,17 @@
 A page is cut into blocks at the borders of block elements. Pass one decides
 blocks by themselves: blocks within menus, headers, footers, sidebars, adverts, forms,
 comments and the like are out; blocks with many link characters are out; long blocks
-with enough stop words, or long blocks of the page's article, are in; where no block of a page has enough, all long blocks count. An element or class that names the article
+with enough stop words, with hardly a link, or of the page's article, are in; where no block of a page has enough, all long blocks count. An element or class that names the article
 counts if it holds at least half of the long dense text; outside it such text is in, with short blocks within it, and all else is out. Short blocks
 and those between the bounds stay undecided. In pass two each of them takes the
 label of the nearest decided neighbours in its region of the page: before and after count by their
 distance, and at equal distance "in" wins within an article. A region
 with no decided block is in.
 
-Each page is handled by itself in one pass without a shuffle. Defined results: a null or empty page has the empty
-text; repeated rows give equal results; null ids and urls are passed through; an empty table gives
-an empty result; other columns are kept by ``extract``.
+Each page is handled by itself in one pass without a shuffle, in time and memory proportional to its length, however its tags are broken.
+Defined results: a null or empty page has the empty
+text; a very long page is cut into blocks like any other; repeated rows give equal results; null ids and urls are passed through; an empty table gives
+an empty result; other columns are kept by ``extract``, and where ``text`` or ``n_chars`` is taken the new column gets an underscore in front.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 import html
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,8 @@ from .common import fresh, numbered, quoted
 from .quality_rules import STOP_WORDS
 
 MAX_LINK_SHARE = 0.5
+#: A long block with at most this share of link characters is text in whatever language.
+FEW_LINKS = 0.1
 LONG_CHARS = 140
 SHORT_CHARS = 60
 MIN_STOP_SHARE = 0.2
@@ -47,23 +51,121 @@ HOLDS_ARTICLE = frozenset("noscript template svg math".split())
 BOUNDARY = HOLDS_ARTICLE | frozenset("object select button".split())
 OUT = frozenset("nav aside footer form menu dialog head".split())
 ARTICLE = {"article": 3, "main": 2}
-#: Class and id words of a container that holds the article where neither element is used.
+#: Class and id words of a container that holds the article where neither element is used, and the last words of their compounds.
 CONTENT = frozenset("article content entry post story".split())
-#: Class and id words of page furniture.
+CONTENT_ENDS = CONTENT | frozenset("body text main".split())
+#: Class and id words of page furniture, alone or in a compound such as top-nav.
 FURNITURE = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
-    "sidebar aside footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login "
-    "share sharing social comment comments commentlist reply replies respond disqus related recommended widget pagination pager toolbar skip hidden search form".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation breadcrumb breadcrumbs "
+    "sidebar aside footer masthead topbar cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login "
+    "share sharing social comment comments commentlist reply replies respond disqus related recommended widget pagination pager toolbar".split()
 )
+#: Words that are furniture alone or at the end of a compound (search-form, cookie-notice), not before other words (form-factor).
+FURNITURE_ENDS = frozenset("menu notice notices alert search form skip header".split())
+HIDDEN = frozenset("hidden is-hidden visually-hidden visuallyhidden sr-only screen-reader-text".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)\s*(/?)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s=></][^\s=></]*)(\s*=\s*)?")
+_BARE = re.compile(r"[^\s><]*")
+_GAP = re.compile(r"[\s/=]*")
+_MARKUP = re.compile(r"<[/a-zA-Z]")
+_LINK = re.compile(r"<(/?)a(?=[\s>/])", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 #: Names such as has-sidebar say what stands beside the content.
-_WRAPPED = re.compile(r"\b(?:with|has|no|without)[-_][a-z]+")
+_WRAPPED = frozenset("with has no without".split())
+_PARTS = re.compile(r"[^a-z]+")
 _STOPS = frozenset(STOP_WORDS)
 
 
+@dataclass(slots=True)
+class Tag:
+    name: str
+    ends: bool
+    attributes: dict[str, str]
+    #: Whether it says that it has no content.
+    closed: bool = False
+
+
+def _quoted(page: str, at: int, last: dict[str, int]) -> tuple[str, int] | None:
+    """A quoted value and where it ends; None if the quote is left open, which shows at the end of the page or by markup within."""
+    quote = page[at]
+    if at >= last[quote]:
+        return None
+    end = page.index(quote, at + 1)
+    value = page[at + 1 : end]
+    close = value.find(">")
+    if close >= 0 and _MARKUP.search(value, close):
+        return None
+    return value, end + 1
+
+
+def tokens(page: str) -> Iterator[str | Tag]:
+    """Text and tags in order, in time proportional to the page's length. A tag ends at ">", or before the next tag if that is missing.
+
+    Comments, declarations and what RAW elements hold are left out; an end of these that is missing takes the rest of the page.
+    """
+    at = begin = 0
+    last = {q: page.rfind(q) for q in "\"'"}
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            break
+        m = _PLAIN.match(page, at)
+        if m:
+            tag, end = Tag(m[2].lower(), bool(m[1]), {}, bool(m[3])), m.end()
+        elif m := _NAME.match(page, at):
+            tag, end = _tag(page, m, last)
+        elif page.startswith("<!--", at):
+            tag, end = None, page.find("-->", at + 2)
+            end = len(page) if end < 0 else end + 3
+        elif page[at + 1 : at + 2] in ("!", "?") or page.startswith("</", at):
+            tag, end = None, page.find(">", at)
+            end = len(page) if end < 0 else end + 1
+        else:
+            at += 1
+            continue
+        if at > begin:
+            yield page[begin:at]
+        if tag:
+            if tag.name in RAW and not tag.ends:
+                if not (tag.closed and tag.name == "iframe"):
+                    found = _RAW_END[tag.name].search(page, end)
+                    end = found.end() if found else len(page)
+                tag = None
+                yield " "
+            elif tag.name == "a" and not tag.ends:
+                # An end tag that is missing: the link ends with the block it is in.
+                found = _LINK.search(page, end)
+                tag.closed = not (found and found[1])
+        if tag:
+            yield tag
+        at = begin = end
+    if begin < len(page):
+        yield page[begin:]
+
+
+def _tag(page: str, m: re.Match, last: dict[str, int]) -> tuple[Tag, int]:
+    tag, at = Tag(m[2].lower(), bool(m[1]), {}), m.end()
+    while x := _ATTRIBUTE.match(page, at):
+        at = x.end()
+        value = ""
+        if x[2]:
+            found = _quoted(page, at, last) if page[at : at + 1] in ("'", '"') else None
+            if found is None:
+                y = _BARE.match(page, at)
+                found = y[0], y.end()
+            value, at = found
+        tag.attributes.setdefault(x[1].lower(), value)
+    gap = _GAP.match(page, at)
+    at = gap.end()
+    if page[at : at + 1] == ">":
+        tag.closed = page[at - 1] == "/"
+        at += 1
+    return tag, at
+
+
 @dataclass
 class Block:
     text: str
@@ -75,173 +177,257 @@ class Block:
     label: bool | None = None
 
 
-def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+def _names(attributes: dict[str, str]) -> Iterator[list[str]]:
+    """The words of each class name and of the id."""
+    for key in ("class", "id"):
+        for name in attributes.get(key, "").lower().split():
+            yield [x for x in _PARTS.split(name) if x]
+
+
+def _is_furniture(tag: Tag, in_article: bool) -> bool:
+    name, attributes = tag.name, tag.attributes
     if name in OUT or (name == "header" and not in_article):
         return True
-    if "=" in attributes:
-        for m in _NAMES.finditer(attributes):
-            value = (m[1] or m[2] or m[3] or "").lower()
-            if m[0][:4].lower() == "role":
-                if value in FURNITURE_ROLES:
-                    return True
-            elif not FURNITURE.isdisjoint(re.split(r"[^a-z]+", _WRAPPED.sub(" ", value))) and name not in ("html", "body") and not (name in ARTICLE and "comment" not in value):
-                return True
-        if re.search(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*.?true", attributes, re.I):
+    if not attributes:
+        return False
+    if attributes.get("role", "").lower() in FURNITURE_ROLES or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
+        return True
+    if "style" in attributes and re.search(r"(?:^|;)(?:display:none|visibility:hidden)", re.sub(r"\s", "", attributes["style"].lower())):
+        return True
+    if not HIDDEN.isdisjoint(attributes.get("class", "").lower().split()):
+        return True
+    if name in ("html", "body"):
+        return False
+    for words in _names(attributes):
+        words = [w for i, w in enumerate(words) if not (i and words[i - 1] in _WRAPPED)]
+        if name in ARTICLE and not {"comment", "comments"} & set(words):
+            continue
+        if not FURNITURE.isdisjoint(words):
+            return True
+        # The header of an article holds its title.
+        if words and words[-1] in FURNITURE_ENDS and not (words[-1] == "header" and (in_article or not CONTENT.isdisjoint(words))):
             return True
     return False
 
 
-def _article_level(name: str, attributes: str) -> int:
-    if name in ARTICLE:
-        return ARTICLE[name]
-    if name in ("div", "section", "td") and "=" in attributes:
-        for m in _NAMES.finditer(attributes):
-            value = (m[1] or m[2] or m[3] or "").lower()
-            if m[0][:4].lower() == "role":
-                if value == "main":
-                    return 2
-            elif not CONTENT.isdisjoint(re.split(r"[^a-z]+", value)):
-                return 1
+def _article_level(tag: Tag) -> int:
+    if tag.name in ARTICLE:
+        return ARTICLE[tag.name]
+    if tag.name in ("div", "section", "td") and tag.attributes:
+        if tag.attributes.get("role", "").lower() == "main":
+            return 2
+        return int(any(words and words[-1] in CONTENT_ENDS and not CONTENT.isdisjoint(words) for words in _names(tag.attributes)))
     return 0
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, with what pass one needs to know of each."""
-    out: list[Block] = []
-    parts: list[tuple[str, bool]] = []
-    # (name, furniture, region, article, in a link) of each open element; regions are numbered in order.
-    stack = [("", False, 0, 0, False)]
-    regions = 0
-    breaks = 0
-    # Where on the stack the outermost dropped element is.
-    drop: int | None = None
-
-    def flush() -> None:
-        nonlocal parts
-        if parts:
-            _, furniture, region, article, _ = stack[-1]
-            text = " ".join(html.unescape("".join(x for x, _ in parts)).split())
-            if text:
-                links = sum(len(" ".join(html.unescape(x).split())) for x, linked in parts if linked)
-                out.append(Block(text, links, furniture, region, article))
-            parts = []
-
-    def close(name: str) -> bool:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == name:
-                del stack[i:]
-                return True
-            # An end tag does not reach out of the region it is in.
-            if stack[i][0] in ARTICLE and name not in ARTICLE and name not in ("body", "html"):
-                return False
-        return False
+@dataclass(slots=True)
+class Open:
+    """An open element."""
+
+    name: str
+    furniture: bool
+    region: int
+    article: int
 
-    def ends_drop(name: str) -> bool:
-        """Whether a start tag ends the dropped element, whose end tag is missing then."""
-        root, parent = stack[drop][0], stack[drop - 1][0]
-        if name == "body" or (name in ARTICLE and root not in HOLDS_ARTICLE) or (root == "option" and name in ("option", "optgroup")):
+
+class Stack:
+    """Open elements. Every article begins a scope, which the end tags of other elements don't reach out of; a dropped element begins one as well.
+
+    Scopes count their open names, so an end tag without a start is passed over at once.
+    """
+
+    def __init__(self) -> None:
+        self.items = [Open("", False, 0, 0)]
+        self.scopes: list[Counter] = [Counter()]
+        self.starts = [0]
+        self.total: Counter = Counter()
+        #: Where the outermost dropped element is, and its scope; within it no further scope begins.
+        self.drop: int | None = None
+        self.drop_scope = 0
+
+    @property
+    def top(self) -> Open:
+        return self.items[-1]
+
+    def push(self, item: Open, drop: bool = False) -> None:
+        if drop:
+            self.drop, self.drop_scope = len(self.items), len(self.scopes)
+        if drop or (item.name in ARTICLE and self.drop is None):
+            self.scopes.append(Counter())
+            self.starts.append(len(self.items))
+        self.items.append(item)
+        self.scopes[-1][item.name] += 1
+        self.total[item.name] += 1
+
+    def cut(self, size: int) -> None:
+        """Only the first ``size`` elements stay open."""
+        while len(self.items) > size:
+            name = self.items.pop().name
+            self.scopes[-1][name] -= 1
+            self.total[name] -= 1
+            if self.starts[-1] == len(self.items):
+                self.scopes.pop()
+                self.starts.pop()
+        if self.drop is not None and size <= self.drop:
+            self.drop = None
+
+    def reaches(self, name: str, scope: int = -1) -> bool:
+        """Whether an end tag seen in a scope closes something."""
+        return self.total[name] > 0 if name in ARTICLE or name in ("body", "html") else self.scopes[scope][name] > 0
+
+    def close(self, name: str) -> bool:
+        if not self.reaches(name):
+            return False
+        while self.top.name != name:
+            self.cut(len(self.items) - 1)
+        self.cut(len(self.items) - 1)
+        return True
+
+    def drop_holds(self, name: str) -> bool:
+        """Whether a dropped element, or what is open within it, has the name."""
+        return self.scopes[-1][name] > 0
+
+    def ends_drop(self, tag: Tag) -> bool:
+        """Whether a tag ends the dropped element, whose own end tag is missing then."""
+        root, parent = self.items[self.drop].name, self.items[self.drop - 1].name
+        if tag.ends:
+            return self.reaches(tag.name, self.drop_scope - 1)
+        if tag.name == "body" or (tag.name in ARTICLE and root not in HOLDS_ARTICLE) or (root == "option" and tag.name in ("option", "optgroup")):
             return True
-        return root not in BOUNDARY and ((parent == "p" and name not in INLINE and name not in DROPPED) or parent == name == "li")
+        return root not in BOUNDARY and ((parent == "p" and tag.name not in INLINE and tag.name not in DROPPED) or parent == tag.name == "li")
+
+
+class _Builder:
+    """Cuts a page into blocks at the borders of block elements."""
 
-    def holds(name: str) -> bool:
-        """Whether an end tag is that of an element around the dropped one."""
-        for x, *_ in reversed(stack[1:drop]):
-            if x == name:
+    def __init__(self) -> None:
+        self.out: list[Block] = []
+        self.parts: list[tuple[str, bool]] = []
+        self.stack = Stack()
+        self.regions = self.breaks = 0
+        #: (how many elements were open when the open link began, whether it ends with its block), if there is one.
+        self.link: tuple[int, bool] | None = None
+
+    def flush(self) -> None:
+        if self.parts:
+            top = self.stack.top
+            text = " ".join(html.unescape("".join(x for x, _ in self.parts)).split())
+            if text:
+                links = sum(len(" ".join(html.unescape(x).split())) for x, linked in self.parts if linked)
+                self.out.append(Block(text, links, top.furniture, top.region, top.article))
+            self.parts = []
+
+    def cut(self, size: int) -> None:
+        self.stack.cut(size)
+        self._unlink()
+
+    def _unlink(self) -> None:
+        if self.link and self.link[0] > len(self.stack.items):
+            self.link = None
+
+    def text(self, text: str) -> None:
+        if self.stack.drop is None:
+            self.parts.append((text, self.link is not None))
+            if self.breaks and text.strip():
+                self.breaks = 0
+
+    def tag(self, tag: Tag) -> None:
+        stack = self.stack
+        if tag.name in VOID:
+            if stack.drop is None:
+                self.void(tag.name)
+            return
+        if stack.drop is not None:
+            if self.dropped(tag):
+                return
+            self.cut(stack.drop)
+        top = stack.top
+        if tag.name in DROPPED and not tag.ends:
+            self.parts.append((" ", False))
+            if not (tag.closed and tag.name in ("svg", "math")):
+                stack.push(Open(tag.name, True, top.region, top.article), True)
+        elif tag.name == "a":
+            if tag.ends:
+                self.link = None
+            elif "href" in tag.attributes:
+                self.link = (len(stack.items), tag.closed)
+        elif tag.name in INLINE:
+            if tag.ends:
+                if top.name == tag.name:
+                    self.flush()
+                    self.cut(len(stack.items) - 1)
+            elif _is_furniture(tag, bool(top.article)):
+                self.flush()
+                stack.push(Open(tag.name, True, top.region, top.article))
+        else:
+            self.block(tag)
+
+    def void(self, name: str) -> None:
+        if name == "br":
+            self.breaks += 1
+            self.parts.append((" ", False))
+            if self.breaks == 2:
+                self.flush()
+        elif name == "hr":
+            self.flush()
+
+    def dropped(self, tag: Tag) -> bool:
+        """Handle a tag within a dropped element; False if it ends the element and is still to be handled."""
+        stack = self.stack
+        if tag.ends:
+            if stack.drop_holds(tag.name):
+                while stack.top.name != tag.name:
+                    self.cut(len(stack.items) - 1)
+                self.cut(len(stack.items) - 1)
                 return True
-            if x in ARTICLE and name not in ARTICLE and name not in ("body", "html"):
-                return False
-        return False
+            return not stack.ends_drop(tag)
+        if stack.ends_drop(tag):
+            return False
+        if not tag.closed:
+            if tag.name == "option" and stack.top.name == "option":
+                self.cut(len(stack.items) - 1)
+            stack.push(Open(tag.name, True, stack.top.region, stack.top.article), stack.drop is None)
+        return True
 
-    at = 0
-    while m := _TOKEN.search(page, at):
-        if m.start() > at and drop is None:
-            parts.append((page[at : m.start()], stack[-1][4]))
-            if breaks and page[at : m.start()].strip():
-                breaks = 0
-        at = m.end()
-        if not m[2]:
-            continue
-        name, ends = m[2].lower(), bool(m[1])
-        if name in VOID:
-            if drop is not None:
-                continue
-            if name == "br":
-                breaks += 1
-                parts.append((" ", False))
-                if breaks == 2:
-                    flush()
-            elif name == "hr":
-                flush()
-            continue
-        if name in RAW and not ends:
-            if m[3].endswith("/") and name == "iframe":
-                continue
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            parts.append((" ", False))
-            continue
-        if drop is not None:
-            if ends:
-                i = next((i for i in range(len(stack) - 1, drop - 1, -1) if stack[i][0] == name), None)
-                if i is not None:
-                    del stack[i:]
-                    if i == drop:
-                        drop = None
-                    continue
-                if not holds(name):
-                    continue
-            elif not ends_drop(name):
-                if not m[3].endswith("/"):
-                    if name == "option" and stack[-1][0] == "option":
-                        stack.pop()
-                    stack.append((name, True, *stack[-1][2:4], False))
-                continue
-            del stack[drop:]
-            drop = None
-        if name in DROPPED and not ends:
-            parts.append((" ", False))
-            if not (m[3].endswith("/") and name in ("svg", "math")):
-                drop = len(stack)
-                stack.append((name, True, *stack[-1][2:4], False))
-            continue
-        if name in INLINE:
-            if name == "a":
-                _, furniture, region, article, _ = stack[-1]
-                if ends:
-                    stack[-1] = (stack[-1][0], furniture, region, article, False)
-                else:
-                    stack[-1] = (stack[-1][0], furniture, region, article, True)
-                continue
-            if ends:
-                if stack[-1][0] == name:
-                    flush()
-                    stack.pop()
-            elif _is_furniture(name, m[3], bool(stack[-1][3])):
-                flush()
-                stack.append((name, True, *stack[-1][2:]))
-            continue
-        flush()
-        breaks = 0
-        if ends:
-            close(name)
+    def block(self, tag: Tag) -> None:
+        stack, name = self.stack, tag.name
+        self.flush()
+        self.breaks = 0
+        if self.link and self.link[1]:
+            self.link = None
+        if tag.ends:
+            stack.close(name)
+            self._unlink()
             if name in ("article", "main", "section", "div"):
-                regions += 1
-            continue
-        if stack[-1][0] == "p" or (name == "li" and stack[-1][0] == "li"):
-            stack.pop()
+                self.regions += 1
+            return
+        if stack.top.name == "p" or (name == "li" and stack.top.name == "li"):
+            self.cut(len(stack.items) - 1)
         if name == "body":
-            close("head")
-        _, furniture, region, article, _ = stack[-1]
-        level = _article_level(name, m[3])
+            stack.close("head")
+        top = stack.top
+        level, region, article = _article_level(tag), top.region, top.article
         if level > article:
-            article, region, regions = level, regions + 1, regions + 1
-        stack.append((name, furniture or _is_furniture(name, m[3], bool(article)), region, article, False))
-    if drop is not None:
-        del stack[drop:]
-    elif at < len(page):
-        parts.append((page[at:], stack[-1][4]))
-    flush()
-    return out
+            article, self.regions = level, self.regions + 1
+            region = self.regions
+        stack.push(Open(name, top.furniture or _is_furniture(tag, bool(top.article)), region, article))
+
+    def finish(self) -> list[Block]:
+        if self.stack.drop is not None:
+            self.cut(self.stack.drop)
+        self.flush()
+        return self.out
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks of a page in order, with what pass one needs to know of each."""
+    builder = _Builder()
+    for x in tokens(page):
+        if isinstance(x, str):
+            builder.text(x)
+        else:
+            builder.tag(x)
+    return builder.finish()
 
 
 def _is_dense(b: Block) -> bool:
@@ -272,7 +458,7 @@ def decide(found: list[Block]) -> None:
         elif b.links > MAX_LINK_SHARE * size:
             b.label = None if b.article and size >= LONG_CHARS else False
         elif size >= SHORT_CHARS:
-            if id(b) in solid or b.article and (size >= LONG_CHARS or _is_dense(b)):
+            if id(b) in solid or (size >= LONG_CHARS and (b.article or b.links <= FEW_LINKS * size)) or (b.article and _is_dense(b)):
                 b.label = True
     if top:
         _join(own)

@@ -152,6 +152,138 @@ def test_html_of_languages_without_known_stop_words():
     assert main_text(f"<body><p>{polish}</p><p>{english}</p>{menu}</body>") == f"{polish}\n{english}"
 
 
+ENGLISH = ("The man of the house is in the garden and the dog is at the gate with a ball. " * 3).strip()
+GERMAN = "Straßenbahnhaltestellen Wartungsarbeiten beginnen nächsten Donnerstag frühmorgens, Fahrgäste benutzen bitte Ersatzbusse Richtung Hauptbahnhof. " * 2
+
+
+def test_html_attributes_are_read_as_such():
+    """What is hidden or furniture is said by an attribute's own words, not by any text within a tag."""
+    p = f"<p>{ENGLISH}</p>"
+    for kept in ("style='overflow:hidden'", "class='overflow-hidden'", "title='A hidden gem'", "data-x='display:none'", "class='form-factor'", "class='no-sidebar'", "title=\"a > b\""):
+        assert main_text(f"<body><div {kept}>{p}</div></body>") == ENGLISH, kept
+    for gone in ("hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; Display : none'", "class='x visually-hidden'", "class=search-form", "id=cookie-notice", "role=navigation", "class='post-comments'", "class='article-sidebar ad-1'"):
+        assert main_text(f"<body><div {gone}>{p}</div><p>{ENGLISH} x</p></body>") == f"{ENGLISH} x", gone
+    assert main_text(f"<body><div class=site-header>Site</div><div class=post><div class='post-header'><h1>Title</h1></div>{p}</div></body>") == f"Title\n{ENGLISH}"
+
+
+def test_html_links_around_blocks():
+    teaser = "<a href=/x><div>The story of the day that is in the papers and on the radio for all</div><p>It is of the kind that you read in the tram with the others, and it is on page two of the paper of the day in the evening and at night</p></a>"
+    assert main_text(f"<body>{teaser}<p>{ENGLISH}</p>{teaser}</body>") == ENGLISH
+    # Without an end tag a link ends with its block; an anchor is no link.
+    assert main_text(f"<body><p><a href=/x>Top<p>{ENGLISH}</p><p>{ENGLISH}</body>") == f"{ENGLISH}\n{ENGLISH}"
+    assert main_text(f"<body><a name=top><div><p>{ENGLISH}</p></div></a></body>") == ENGLISH
+
+
+def test_html_of_broken_tags():
+    assert main_text(f"<article><p title=\"open>{ENGLISH}</p><p>more</p></article>") == f"{ENGLISH}\nmore"
+    assert main_text(f"<article><p title='open>{ENGLISH}</p><p class='b'>it's</p></article>") == f"{ENGLISH}\nit's"
+    assert main_text("<article><p>1 < 2 and 3 > 2</p><p>a <b c</p></article>") == "1 < 2 and 3 > 2\na"
+    assert main_text("<article><p>x</p") == "x"
+    assert main_text("<article><p a=1 b = \"2\"c='3'/ d>x</p></article></section></div></b>") == "x"
+
+
+def test_html_of_words_that_are_on_no_list():
+    assert main_text(f"<body><p><a href=/>menu</a></p><p>{GERMAN}</p><p>{ENGLISH}</p></body>") == f"{GERMAN.strip()}\n{ENGLISH}"
+    assert main_text(f"<article><p>{ENGLISH}</p><p>{GERMAN}</p></article>") == f"{ENGLISH}\n{GERMAN.strip()}"
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<p title='" * 100_000, "<" * 1_000_000, "</div>" * 170_000, "<div><i>" * 60_000 + "</p></span>" * 60_000, "<svg><b>" * 60_000 + "</p>" * 60_000, "<article><a href=x>" * 50_000 + "</section>" * 50_000, "<!--" * 250_000, '<a b="' * 90_000 + "'" * 90_000])
+def test_html_takes_time_in_proportion(page):
+    import time
+
+    began = time.process_time()
+    main_text(f"<article><p>x</p></article>{page}")
+    assert time.process_time() - began < 4
+
+
+def slow_labels(blocks):
+    """The rules on (text, link characters, furniture, level, region), written for clarity: every look at a neighbour is a scan."""
+    import string
+
+    def dense(text):
+        words = text.lower().split()
+        return sum(w.strip(string.punctuation) in STOP_WORDS for w in words) >= 0.2 * len(words)
+
+    n = range(len(blocks))
+    text, links, furniture, level, region = (list(x) for x in zip(*blocks, strict=True))
+    linked = [2 * links[i] > len(text[i]) for i in n]
+    own = [i for i in n if not furniture[i]]
+    known = any(len(text[i]) >= 60 and dense(text[i]) and not linked[i] for i in own)
+    solid = {i for i in own if len(text[i]) >= 140 and not linked[i] and (dense(text[i]) or not known)}
+    total = sum(len(text[i]) for i in solid)
+    tops = [k for k in {level[i] for i in own} if k and 2 * sum(len(text[i]) for i in solid if level[i] >= k) >= total]
+    top = max(tops, default=0)
+    within = [bool(top) and level[i] >= top for i in n]
+    label = dict.fromkeys(own)
+    for i in own:
+        if top and not within[i]:
+            label[i] = i in solid
+        elif linked[i]:
+            label[i] = None if within[i] and len(text[i]) >= 140 else False
+        elif i in solid or (len(text[i]) >= 140 and 10 * links[i] <= len(text[i])) or (within[i] and (len(text[i]) >= 140 or (len(text[i]) >= 60 and dense(text[i])))):
+            label[i] = True
+    if top:
+        for i in list(own):
+            if not within[i] and not linked[i] and i not in solid:
+                k = own.index(i)
+                after = next((j for j in own[k + 1 :] if within[j] or j in solid), None)
+                before = next((j for j in own[:k][::-1] if within[j] or j in solid), None)
+                if after is not None and not within[after] and ((before is not None and not within[before]) or after == own[k + 1]):
+                    label[i] = True
+    out = dict(label)
+    for i in own:
+        if label[i] is None:
+            group = [j for j in own if within[j] == within[i] and (not within[i] or region[j] == region[i])]
+            place = group.index(i)
+            decided = [(abs(place - group.index(j)), label[j]) for j in group if label[j] is not None and not any(label[x] is not None for x in group[min(place, group.index(j)) + 1 : max(place, group.index(j))])]
+            near = [v for d, v in decided if d == min(d for d, _ in decided)]
+            out[i] = True if not near else any(near) if within[i] else all(near)
+    return [out.get(i, False) for i in n]
+
+
+def random_page(rng):
+    """A page and its blocks as the rules see them."""
+    words = "the of and in is garden river stone bridge morning letter window a to".split()
+    odd = "zamek rzeka ogród drzewo kwiat okno most".split()
+    found, parts, region = [], ["<html><head><title>t</title></head><body>"], 0
+    for _ in range(rng.integers(1, 7)):
+        name, level, furniture = [("div", 0, False), ("section", 0, False), ("article", 3, False), ("main", 2, False), ("div class='post-body'", 1, False), ("nav", 0, True), ("div class=sidebar", 0, True)][rng.integers(0, 7)]
+        region += 1
+        parts.append(f"<{name}>")
+        for _ in range(rng.integers(1, 6)):
+            text = " ".join(str(x) for x in rng.choice(words if rng.random() < 0.7 else odd, rng.choice([1, 4, 14, 40])))
+            if rng.random() < 0.25:
+                tail = " ".join(str(x) for x in rng.choice(words, rng.choice([1, 12])))
+                parts.append(f"<p>{tail} <a href='/x?a=1&amp;b=2'>{text}</a></p>")
+                found.append((f"{tail} {text}", len(text), furniture, level, region))
+            else:
+                parts.append(f"<p>{text}</p>" if rng.random() < 0.7 else f"<h2 id='x1'>  {text}\n</h2>")
+                found.append((text, 0, furniture, level, region))
+        parts.append(f"</{name.split()[0]}>")
+    return "".join(parts), found
+
+
+def test_html_against_brute_force():
+    rng = np.random.default_rng(12)
+    for _ in range(600):
+        page, found = random_page(rng)
+        want = "\n".join(b[0] for b, on in zip(found, slow_labels(found), strict=True) if on)
+        assert main_text(page) == want, page
+
+
+def test_html_needs_both_passes(monkeypatch):
+    """Without the stop words, without the lengths, without the link shares or without pass two other pages come out."""
+    from locuspark.llm import html_extract
+
+    rng = np.random.default_rng(13)
+    pages = [random_page(rng)[0] for _ in range(200)]
+    full = [main_text(x) for x in pages]
+    for name, value in (("_STOPS", frozenset()), ("MAX_LINK_SHARE", 2), ("LONG_CHARS", 10**9), ("inherit", lambda found: None)):
+        with monkeypatch.context() as m:
+            m.setattr(html_extract, name, value)
+            assert sum(main_text(x) != y for x, y in zip(pages, full, strict=True)) > 10, name
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "", "", "y")]
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
