@@ -11,14 +11,14 @@ graph is built over repeated edges alone, and in the compressed form that large
    select equal k-mers at the same offset. A run of windows of one document that selects the same k-mer is a
    super-k-mer: about 8 rows per 100 words. Super-k-mers are dealt by their k-mer; a k-mer with one source has no repeated window.
 2. Edges. A k-mer whose sources all have the same super-k-mer holds one path of edges, compact already. Where sources
-   differ, the graph may branch there: their documents are visited and every window becomes an edge of its own.
-   Edges that occur once are dropped.
+   differ, the graph may branch there: one document of each different super-k-mer is visited, its windows are counted one by one, and
+   runs of windows that occur in the same super-k-mers are edges. Windows that occur once are dropped.
 3. Compaction. Of each edge the successors and predecessors over all its sources are counted, the end of a repeated
    passage being a neighbour like any other. Two edges are one path if each is the other's only neighbour on that side; joined
    back to the sources, this cuts each document's run of repeated edges into nonbranching paths. A path's first edge names it, and
    every source of it has coordinates: document, first and last word.
 4. Verification. The documents are visited at these coordinates. All sources of a path must have the same words, compared
-   as text, not by a hash. Paths for which that fails (hashes collided) are judged window by window, again as text.
+   as text, not by a hash. Where that fails (hashes collided) all windows of the k-mers involved are compared one by one, again as text.
    So a collision costs time and never a word.
 
 Equal words have equal hashes, so nothing is missed; hashes only propose. Counting is by map-side sums; a
@@ -219,19 +219,18 @@ def _spans(column: pa.Array, i: int) -> list[np.ndarray]:
 
 
 def _windows(window: int, bits: int):
-    """Every window of the given runs of windows (k-mer, first, count) of each text as an edge of its own."""
+    """Every window of the given super-k-mers (k-mer, whole, sources, first, count) of each text, with its place in the super-k-mer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, text in enumerate(_binary(batch.column(2))):
                 words = Words([text], bits)
-                seed, first, count = _spans(batch.column(3), i)
+                seed, whole, n, first, count = _spans(batch.column(3), i)
                 count = count.astype(np.int64)
-                at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                edge = words.runs(at, window).view(np.int64)
-                take = pa.array(np.full(len(at), i))
-                ones = pa.array(np.ones(len(at), np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.repeat(seed, count)), pa.array(edge), pa.array(at.astype(np.int32)), ones], ["_doc", "_t", "_p", "_q", "_a", "_m"])
+                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                edge = words.runs(np.repeat(first, count) + place, window).view(np.int64)
+                columns = [*(np.repeat(x, count) for x in (seed, whole, count.astype(np.int32), n)), place.astype(np.int32), edge]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["_p", "_q", "_m", "_n", "_o", "_h"])
 
     return run
 
@@ -357,38 +356,64 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     discard(seeds, repeated)
     held = sources.select(F.col("_doc").alias("_d"), F.col("_t").alias("_u")).distinct()
     texts = materialise(rows.join(held, _same(), "left_semi"), "texts-with-repeats")
-    # 2. Repeated edges: whole super-k-mers, or single windows where these differ.
-    branching = sources.where("_branches").select("_doc", "_t", F.struct("_p", "_a", "_m").alias("_ask"))
-    single = materialise(_visits(texts, branching).mapInArrow(_windows(window, bits), edge), "single-windows")
-    twice = materialise(single.groupBy("_p", "_q").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-windows")
+    # 2. Repeated edges: whole super-k-mers, or what such share where they differ.
     # The columns of a super-k-mer's edge are the other way round, so that it is no window's.
     whole = sources.where("not _branches").select("_doc", "_t", F.col("_q").alias("_p"), F.col("_p").alias("_q"), "_a", "_m")
-    edges = whole.unionByName(lookup(single, twice.withColumn("_on", F.lit(True)), ["_p", "_q"], "_n", "inner").drop("_on"))
+    edges = whole.unionByName(_shared_parts(texts, sources.where("_branches"), window, bits))
     # Rows that repeat a document have the same sources.
     edges = materialise(edges.dropDuplicates(["_doc", "_t", "_a"]), "repeated-edges")
-    discard(sources, single)
     # 3. Paths, with the coordinates of their sources in words.
     paths = compact(edges).select("_doc", "_t", "_p", "_q", "_a", (F.col("_e") + F.lit(window - 1)).cast("int").alias("_b"))
     paths = materialise(paths, "paths")
-    discard(edges)
     # 4. The same words at all sources.
-    ask = paths.select("_doc", "_t", F.struct("_p", "_q", "_a", "_b").alias("_ask"))
     found = f"_doc {kind}, _t long, _p long, _q long, _a int, _words string"
-    seen = _visits(texts, ask).mapInArrow(_texts(None), found).select("_p", "_q", "_words").distinct()
-    mixed = materialise(seen.groupBy("_p", "_q").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_p", "_q"), "mixed-paths")
+    ask = paths.select("_doc", "_t", F.struct("_p", "_q", "_a", "_b").alias("_ask"))
+    seen = _visits(texts, ask).mapInArrow(_texts(None), found).groupBy("_p", "_q", "_words").agg(F.count(F.lit(1)).alias("_n"))
+    sure = (F.count(F.lit(1)) == 1) & (F.sum("_n") > 1)
+    mixed = materialise(seen.groupBy("_p", "_q").agg(sure.alias("_sure")).where("not _sure").select("_p", "_q"), "mixed-paths")
     spans = paths.select("_doc", "_t", "_p", "_q", F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")).alias("_span"))
     if not is_empty(mixed):
-        doubtful = ask.join(mixed, (F.col("_ask._p") == F.col("_p")) & (F.col("_ask._q") == F.col("_q")), "left_semi")
+        # Equal windows have equal seeds, so all windows of these seeds decide the matter.
+        bad = paths.join(mixed, ["_p", "_q"], "left_semi").select(F.col("_doc").alias("_d"), F.col("_t").alias("_u"), F.col("_a").alias("_low"), F.col("_b").alias("_high"))
+        touched = edges.join(bad, _same() & F.col("_a").between(F.col("_low"), F.col("_high")), "left_semi")
+        # Either column may be the seed; one too many does no harm.
+        seeds = touched.select(F.explode(F.array("_p", "_q")).alias("_p")).distinct()
+        doubtful = sources.join(seeds, "_p", "left_semi").select("_doc", "_t", F.struct("_p", "_q", "_a", (F.col("_a") + F.col("_m") + F.lit(window - 1)).alias("_b")).alias("_ask"))
         each = materialise(_visits(texts, doubtful).mapInArrow(_texts(window), found), "doubtful-windows")
-        twice = each.groupBy("_words").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        sure = lookup(each, twice.withColumn("_on", F.lit(True)), ["_words"], "_n", "inner")
+        twice = materialise(each.groupBy("_words").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_on", F.lit(True)), "sure-windows")
+        sure = lookup(each, twice, ["_words"], "_n", "inner")
         sure = sure.select("_doc", "_t", "_p", "_q", F.struct(F.col("_a").alias("a"), (F.col("_a") + F.lit(window)).alias("b")).alias("_span"))
         spans = spans.join(mixed, ["_p", "_q"], "left_anti").select(*sure.columns).unionByName(sure)
     out = materialise(spans.groupBy("_doc", "_t").agg(F.collect_set("_span").alias("_spans")), "repeated-spans")
-    discard(paths, texts)
+    discard(sources, edges, paths, texts)
     return out
 
 
+def _shared_parts(texts: DataFrame, sources: DataFrame, window: int, bits: int) -> DataFrame:
+    """Of super-k-mers that differ though their k-mer is the same, the runs of windows that occur twice or more, as edges at all sources.
+
+    Of equal super-k-mers one source is visited. What two of one k-mer share is one run of windows, so the windows of a super-k-mer
+    fall into runs, each shared with the same set of others; a run is an edge, named by its first window.
+    """
+    # Equal ones have as many windows, which keeps edges apart even where hashes collide.
+    wholes = sources.groupBy("_p", "_q", "_m").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_doc", "_t", "_a")).alias("_one"))
+    wholes = materialise(wholes, "differing-super-k-mers")
+    ask = wholes.select(F.col("_one._doc").alias("_doc"), F.col("_one._t").alias("_t"), F.struct("_p", "_q", "_n", F.col("_one._a").alias("_a"), "_m").alias("_ask"))
+    single = materialise(_visits(texts, ask).mapInArrow(_windows(window, bits), "_p long, _q long, _m int, _n long, _o int, _h long"), "single-windows")
+    # A set of super-k-mers is told by the sum of their hashes.
+    shared = single.groupBy("_p", "_h").agg(F.sum("_n").alias("_all"), F.sum(F.xxhash64("_q").cast("decimal(38,0)")).cast("string").alias("_set"), F.count(F.lit(1)).alias("_c"))
+    shared = materialise(shared.where("_all > 1").select("_p", "_h", F.xxhash64("_set").alias("_set"), "_c"), "shared-windows")
+    known = lookup(single, shared, ["_p", "_h"], "_c", "inner").repartition("_p", "_q").dropDuplicates(["_p", "_q", "_m", "_o"])
+    inside = Window.partitionBy("_p", "_q", "_m").orderBy("_o")
+    goes_on = (F.lag("_o").over(inside) == F.col("_o") - 1) & (F.lag("_set").over(inside) == F.col("_set"))
+    runs = known.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(inside))
+    runs = runs.groupBy("_p", "_q", "_m", "_run").agg(F.min(F.struct("_o", "_h")).alias("_first"), F.count(F.lit(1)).cast("int").alias("_size"), F.max("_n").alias("_n"))
+    runs = runs.groupBy("_p", "_q", "_m").agg(F.max("_n").alias("_n"), F.collect_list(F.struct("_first._o", "_first._h", "_size")).alias("_runs"))
+    at = lookup(sources.select("_doc", "_t", "_p", "_q", "_a", "_m"), materialise(runs, "shared-runs"), ["_p", "_q", "_m"], "_n", "inner")
+    at = at.select("_doc", "_t", "_p", "_a", F.explode("_runs").alias("_r"))
+    return at.select("_doc", "_t", "_p", F.col("_r._h").alias("_q"), (F.col("_a") + F.col("_r._o")).alias("_a"), F.col("_r._size").alias("_m"))
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, kmer: int = KMER, bits: int = 64) -> DataFrame:
     """``docs`` with the text that stays, ``n_words`` (before) and ``n_removed``."""
     spans = repeated_spans(docs, id_col, text_col, window, kmer, bits)
