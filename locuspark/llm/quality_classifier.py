@@ -7,16 +7,21 @@ shapes) minimises the non-negative risk of positive-unlabelled learning
     p * R_P(+) + max(0, R_U(-) - p * R_P(-)),
 
 where a step that would push the second term below zero ascends it instead.
-The prior is estimated from the labelled training rows: the share of label 1 among them.
+
+The prior is the share of positives in U, estimated from P and U alone by best bin estimation (Garg et al., 2021): of the texts that a
+network which tells P from U ranks highest, nearly all are positive, so there the share of U above a bound, over that of P, tends to p.
+Each half of the rows is ranked by a network that has seen the other half only, and the two estimates are averaged.
+Labels other than 1 are never used.
 
 Fitting uses at most ``max_positive`` labelled and ``max_unlabelled`` unlabelled
 rows, those with the smallest hashes of their ids; only their figures (about 30 numbers a row) reach the driver. Figures
 are of whole texts. Scoring is one pass without a shuffle.
 
-Defined results: a null text is an empty one and is scored like any text; a doc_id
+Defined results: a null text is an empty one and is scored like any text; a very long one is read whole, in memory
+in proportion to its length; a doc_id
 that labels name more than once has its smallest label; rows that repeat a doc_id get a score each; a null
-doc_id is not held out and has no label; without positives or unlabelled rows every score is the prior
-(0.5 without labels); an empty table gives an empty result.
+doc_id is not held out and has no label; without positives or unlabelled rows every score is 0.5;
+an empty table gives an empty result; other columns of either table, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -79,11 +84,12 @@ def figure_rows(texts: pa.Array) -> np.ndarray:
 
 
 class Network:
-    """One hidden layer, trained with Adam on the non-negative risk."""
+    """One hidden layer, trained with Adam on the non-negative risk, or, without a prior, to tell the two samples apart."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = HIDDEN, steps: int = 1500, seed: int = 7):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, hidden: int = HIDDEN, steps: int = 1500, seed: int = 7):
         rng = np.random.default_rng(seed)
         both = np.concatenate([positive, unlabelled])
+        self.prior = prior
         self.mean, self.scale = both.mean(axis=0), both.std(axis=0) + 1e-6
         d = both.shape[1]
         self.weights = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)]
@@ -92,17 +98,7 @@ class Network:
         for step in range(1, steps + 1):
             p = p_rows[rng.integers(0, len(p_rows), 1024)]
             u = u_rows[rng.integers(0, len(u_rows), 2048)]
-            gp, hp = self._forward(p)
-            gu, hu = self._forward(u)
-            # Sigmoid losses: bounded, so that single rows can't dominate; l(+) = s(-g), l(-) = s(g).
-            sp, su = _sigmoid(gp), _sigmoid(gu)
-            negative = su.mean() - prior * sp.mean()
-            slope_p, slope_u = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
-            if negative >= 0:
-                d_p, d_u = -2 * prior * slope_p, slope_u
-            else:
-                d_p, d_u = prior * slope_p, -slope_u
-            grads = self._backward(p, hp, d_p, self._backward(u, hu, d_u, None))
+            _, _, grads = self.risk(p, u)
             rate = 0.01 * (1 - step / (steps + 1))
             for w, g, m in zip(self.weights, grads, moments, strict=True):
                 g = g + 1e-4 * w
@@ -110,6 +106,23 @@ class Network:
                 m[1] = 0.999 * m[1] + 0.001 * g * g
                 w -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
 
+    def risk(self, p: np.ndarray, u: np.ndarray) -> tuple[float, float, list[np.ndarray]]:
+        """The two parts of the risk on scaled rows, and the gradient to descend.
+
+        Losses are sigmoid, bounded so that single rows can't dominate: l(+) = s(-g), l(-) = s(g).
+        """
+        gp, hp = self._forward(p)
+        gu, hu = self._forward(u)
+        sp, su = _sigmoid(gp), _sigmoid(gu)
+        slope_p, slope_u = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
+        if self.prior is None:
+            first, second, d_p, d_u = (1 - sp).mean(), su.mean(), -slope_p, slope_u
+        else:
+            first, second = self.prior * (1 - sp).mean(), su.mean() - self.prior * sp.mean()
+            # Below zero the second part alone is ascended.
+            d_p, d_u = (-2 * self.prior * slope_p, slope_u) if second >= 0 else (self.prior * slope_p, -slope_u)
+        return first, second, self._backward(p, hp, d_p, self._backward(u, hu, d_u, None))
+
     def _scaled(self, rows: np.ndarray) -> np.ndarray:
         return np.clip((rows - self.mean) / self.scale, -8, 8)
 
@@ -131,6 +144,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray, doubt: float = 0.1) -> float:
+    """The share of positives among the unlabelled, from scores of both: the ratio of their shares above the bound where its upper confidence limit is least."""
+    bounds = np.unique(np.concatenate([positive, unlabelled]))
+    above = lambda x: 1 - np.searchsorted(np.sort(x), bounds) / len(x)
+    p, u = above(positive), above(unlabelled)
+    slack = np.sqrt(np.log(4 / doubt) / (2 * len(unlabelled))) + np.sqrt(np.log(4 / doubt) / (2 * len(positive)))
+    p, u = p[p > 0], u[p > 0]
+    at = int(np.argmin((u + 1.01 * slack) / p))
+    return float(u[at] / p[at])
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, seed: int = 11) -> float:
+    """The share of positives among the unlabelled rows of figures."""
+    rng = np.random.default_rng(seed)
+    half = [rng.permutation(len(x)) % 2 == 0 for x in (positive, unlabelled)]
+    found = []
+    for side in (True, False):
+        learn = [x[h == side] for x, h in zip((positive, unlabelled), half, strict=True)]
+        judge = [x[h != side] for x, h in zip((positive, unlabelled), half, strict=True)]
+        if all(map(len, learn)) and all(map(len, judge)):
+            network = Network(*learn, None, steps=steps, seed=seed)
+            found.append(best_bin(*(network.score(x) for x in judge)))
+    return min(max(float(np.mean(found)) if found else 0.5, 0.02), 0.98)
+
+
 def held_out(doc: Column) -> Column:
     """The fold that no label is learned from."""
     return F.coalesce(F.pmod(F.crc32(doc.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
@@ -156,15 +194,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     known = labels.where(quoted(id_col).isNotNull() & quoted(label_col).isNotNull()).groupBy(quoted(id_col).alias("_id")).agg(F.min(quoted(label_col)).alias("_y"))
     training = known.where(~held_out(F.col("_id")))
     ids = docs.select(quoted(id_col).alias("_id")).where(F.col("_id").isNotNull() & ~held_out(F.col("_id"))).distinct()
-    counts = training.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("p")).first()
-    prior = min(max(((counts["p"] or 0) + 1) / (counts["n"] + 2), 0.02), 0.98)
     positive = _sampled(docs, training.where("_y = 1").select("_id"), max_positive, id_col, text_col)
     # Unlabelled texts; a label that is not learned from makes a text no less unlabelled, but its fold stays out whole.
     unlabelled = _sampled(docs, ids.join(known, "_id", "left_anti"), max_unlabelled, id_col, text_col)
     if not len(unlabelled):
         unlabelled = _sampled(docs, ids, max_unlabelled, id_col, text_col)
     if not len(positive) or not len(unlabelled):
-        return None, prior
+        return None, 0.5
+    prior = estimate_prior(positive, unlabelled)
     return Network(positive, unlabelled, prior), prior
 
 

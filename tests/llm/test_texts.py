@@ -74,6 +74,57 @@ def test_classifier_on_planted_junk(spark):
     assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in out)
 
 
+def test_risk_and_gradient_against_slow_ones():
+    """The risk row by row, and its gradient by differences, on both sides of zero."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(0.4, 1, (30, 5)), rng.normal(0, 1, (50, 5))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for prior, sign in ((0.3, 1), (0.95, -1)):
+        network = quality_classifier.Network(p, u, prior, hidden=4, steps=3)
+        if sign < 0:  # scores that are high on P and low on U
+            network.weights[0][:] = 0.0
+            network.weights[0][0] = 0.2
+            network.weights[2][:] = 1.0
+            p, u = p + 4, u - 4
+
+        def slow():
+            a, b, c, d = network.weights
+            g = lambda row: float(np.tanh(row @ a + b) @ c + d[0])  # noqa: E731, B023
+            first = prior * np.mean([sigmoid(-g(x)) for x in p])  # noqa: B023
+            return first, np.mean([sigmoid(g(x)) for x in u]) - prior * np.mean([sigmoid(g(x)) for x in p])  # noqa: B023
+
+        first, second, grads = network.risk(p, u)
+        assert np.allclose((first, second), slow()) and second * sign > 0
+        goal = (lambda: sum(slow())) if sign > 0 else (lambda: -slow()[1])  # noqa: B023
+        for w, g in zip(network.weights, grads, strict=True):
+            for at in np.ndindex(w.shape):
+                keep = w[at]
+                w[at] = keep + 1e-5
+                up = goal()
+                w[at] = keep - 1e-5
+                down = goal()
+                w[at] = keep
+                assert abs((up - down) / 2e-5 - g[at]) < 1e-6
+
+
+@pytest.mark.parametrize("share", [0.15, 0.5, 0.85])
+def test_prior_of_planted_mixtures(share):
+    """The share of positives among unlabelled rows is found whatever the labels' own balance."""
+    rng = np.random.default_rng(int(100 * share))
+    good = lambda n: rng.normal(1.5, 1, (n, 6))
+    bad = lambda n: rng.normal(-1.5, 1, (n, 6))
+    n = 4000
+    unlabelled = np.concatenate([good(int(n * share)), bad(n - int(n * share))])
+    assert abs(quality_classifier.estimate_prior(good(1500), unlabelled) - share) < 0.06
+
+
+def test_best_bin_of_scores_by_hand():
+    positive, unlabelled = np.repeat([0.9, 0.1], [90, 10]), np.repeat([0.9, 0.1, 0.05], [45, 5, 50])
+    assert abs(quality_classifier.best_bin(positive, unlabelled) - 0.5) < 1e-9
+    assert 0 <= quality_classifier.best_bin(np.ones(3), np.zeros(2)) <= 1
+    assert quality_classifier.estimate_prior(np.ones((1, 3)), np.ones((2, 3))) == 0.5
+
+
 def test_classifier_corners(odd, none, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     network, prior = quality_classifier.fit(odd, labels)
