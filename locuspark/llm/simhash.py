@@ -13,11 +13,12 @@ Work is on distinct fingerprints, and a bucket gives no pairs: it is searched
 outward from one member after another, each found member taken out, and gives
 the links of a forest that spans its components. A bucket above ``block``
 members is dealt out as pairs of blocks, so that no task holds more than two blocks
-and every pair still meets. m grows with the number of fingerprints, which keeps
+and every pair still meets; only such a bucket costs the square of its blocks. Its rows never meet in one task: their bucket's size reaches
+them by broadcast. m grows with the number of fingerprints, which keeps
 buckets of unlike fingerprints small. Components come from joins (``components``).
 
 Defined results: a null or empty text and one of blanks have fingerprint zero and link
-like any other; repeated rows are members like any other; the component's id is its smallest
+like any other; a very long text is hashed in pieces; repeated rows are members like any other; the component's id is its smallest
 doc_id that is not null; an empty table gives an empty result; other columns are kept by ``near_duplicates``.
 """
 
@@ -190,8 +191,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK, shape
     keys = [F.struct(F.lit(s).alias("s"), F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long").alias("k")) for s, mask in patterns(m, depth, distance)]
     rows = prints.select(F.col(name).alias("f"), F.explode(F.array(*keys)).alias("p")).select("p.s", F.col("p.k").alias("mask"), F.col("p.k").bitwiseAND(F.col("f")).alias("k"), "f")
     rows = rows.select(F.col("s"), F.xxhash64("mask", "k").alias("k"), "f")
-    sizes = rows.groupBy("s", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("s").alias("zs"), F.col("k").alias("zk"), "n")
-    full = rows.join(sizes, (F.col("s") == F.col("zs")) & (F.col("k") == F.col("zk")))
+    sizes = materialise(rows.groupBy("s", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("c", F.col("n")), "bucket-sizes")
+    full = lookup(rows, sizes, ["s", "k"], "c", "inner")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("lo"), F.greatest("own", j).alias("hi")))
