@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import fresh, numbered, quoted, with_text
 
 SPACE = "▁"
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 #: Words whose ids are kept; about 200 bytes each.
 MOST_WORDS = 200_000
 #: Runs of more characters are relaxed with a heap, one by one.
@@ -111,21 +111,20 @@ class Model:
         at, piece = at[order], piece[order]
         return at, self.lengths[piece], piece
 
-    def _edges(self, text: str, ends: np.ndarray) -> np.ndarray:
-        """edge[position, length]: the piece, or -1; pieces that reach beyond ``ends`` of their position are left out."""
+    def _edges(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """edge[position, length]: the piece, or -1, without pieces that reach beyond ``ends`` of their position; and the borders.
+
+        Borders are the positions at which none of these pieces goes across: what stands on either side is relaxed by itself.
+        """
         at, length, piece = self.occurrences(text)
         inside = at + length <= ends[at]
-        edge = np.full((len(text) + 1, self.depth + 1), -1, np.int32)
-        edge[at[inside], length[inside]] = piece[inside]
-        return edge
-
-    @staticmethod
-    def _borders(edge: np.ndarray) -> np.ndarray:
-        """The positions at which no piece that lies in the text goes across: what stands on either side is relaxed by itself."""
-        n = len(edge) - 1
-        at, length = np.nonzero(edge[:, 2:] >= 0)
-        change = np.bincount(at + 1, minlength=n + 1) - np.bincount(at + length + 2, minlength=n + 1)
-        return np.flatnonzero(np.cumsum(change)[:n] == 0)
+        at, length, piece = at[inside], length[inside], piece[inside]
+        n = len(text)
+        edge = np.full((n + 1, self.depth + 1), -1, np.int32)
+        edge[at, length] = piece
+        # A single character is over before the next position.
+        across = np.bincount(at + 1, minlength=n + 1) - np.bincount(at + length, minlength=n + 1)
+        return edge, np.flatnonzero(np.cumsum(across)[:n] == 0)
 
     def _relax(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after another, and how many each has."""
@@ -134,8 +133,7 @@ class Model:
         text = "".join(words)
         sizes = np.array([len(x) for x in words], np.int64)
         starts = np.cumsum(sizes) - sizes
-        edge = self._edges(text, np.repeat(starts + sizes, sizes))
-        ids, counts, begin = self._merge(text, edge, self._borders(edge))
+        ids, counts, begin = self._merge(text, *self._edges(text, np.repeat(starts + sizes, sizes)))
         owner = np.searchsorted(starts, begin, "right") - 1
         return ids, np.bincount(owner, weights=counts, minlength=len(words)).astype(np.int64)
 
@@ -145,8 +143,7 @@ class Model:
         while start < len(word):
             part = word[start : start + size]
             last = start + len(part) == len(word)
-            edge = self._edges(part, np.full(len(part), len(part)))
-            borders = self._borders(edge)
+            edge, borders = self._edges(part, np.full(len(part), len(part)))
             if not last:
                 # Pieces that begin in this part and end beyond it are not known yet.
                 known = borders[borders <= len(part) - self.depth + 1]
