@@ -13,10 +13,10 @@ stand for more than one content, and blocks with such a hash are looked up by
 content. So a collision costs time and never a wrong match.
 
 Everything is DataFrame operations. Defined results: null counts as the empty
-text and empty texts are equal to one another; rows that repeat a
+text and empty texts are equal to one another; a very long text is one row per block, its names one list per level; rows that repeat a
 doc_id are documents of their own, and where equal texts share their largest
 doc_id one of these rows stays; a null doc_id is smaller than any other; an
-empty table gives an empty result; other columns of the input are not read.
+empty table gives an empty result; other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -9,9 +9,10 @@ dropping read them. Counting is by (hash, document) first, so no task holds all
 occurrences of a line, and the few lines that hold a large share of all
 occurrences are looked up by broadcast (see ``common.lookup``). Text is shuffled once.
 
-Defined results: a null or empty text is one empty line; rows that repeat a
+Defined results: a null or empty text is one empty line; a very long text is one row, whose lines are in the memory of one task, and the
+places of its dropped lines one list; rows that repeat a
 doc_id count as one document and, where it is the largest, all keep the line; a null doc_id counts as one document,
-smaller than any other; an empty table gives an empty result; other columns are kept.
+smaller than any other; an empty table gives an empty result; other columns are kept, and where ``n_lines`` or ``n_dropped`` is taken the new column gets an underscore in front.
 """
 
 from __future__ import annotations

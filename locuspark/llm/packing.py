@@ -14,9 +14,9 @@ all groups, and a task holds one group's lengths, never texts. Bins are the same
 Within a group a bin of residual r is found in O(log) steps by a bitmap of the residuals in use; per residual, bins are kept by their
 source bitmap, so that bins with equal sources are skipped together.
 
-Defined results: a null text and an empty one have the length of their end mark, 1; a null source or cluster never conflicts;
+Defined results: a null text and an empty one have the length of their end mark, 1; a very long text fills bins of its own up to its remainder; a null source or cluster never conflicts;
 rows that repeat a doc_id are documents of their own (equal texts conflict as one cluster); a null doc_id
-is packed as the smallest; ties are taken in the order of doc_id; an empty table gives no bins; other columns are not read.
+is packed as the smallest; ties are taken in the order of doc_id; an empty table gives no bins; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
