@@ -444,3 +444,49 @@ def test_options_take_json_and_comma_lists(engine, gord):
         assert engine.spark.read.format("gord").option("f", f).load(d).count() == 4
     engine.spark.sql(f"CREATE OR REPLACE TEMP VIEW dv USING gord OPTIONS (path '{d}', f 's1')")
     assert engine.spark.sql("SELECT count(*) FROM dv").first()[0] == 2
+
+
+def test_quirks_that_are_kept(engine, spark, gord, tmp_path):
+    from pathlib import Path
+
+    p = put(engine, tmp_path / "g.gorz", ROWS)
+    (tmp_path / "g.dat").write_bytes(Path(p).read_bytes())
+    assert engine.read_gor(f"{tmp_path}/g.dat").count() == 4  # Q-4: whatever is no dictionary
+    d = str(gord / "d.gord")
+    (tmp_path / "none.tsv").write_text("#only\ta header\n")
+    assert engine.read_gor(d, f=[], ff=f"{tmp_path}/none.tsv").count() == engine.read_gor(d, f=[None]).count() == 6  # Q-5
+    put(engine, tmp_path / "h.gorz", [("chr1", 1, "x")], "`#c` string, `p q` int, `r.s` string")
+    assert (tmp_path / "h.gorz").read_bytes().startswith(b"#c\tp q\tr.s\n")  # Q-7
+    assert engine.read_gor(f"{tmp_path}/h.gorz").columns == ["c", "p q", "r.s"]
+    assert rows(engine.read_gor(f"{tmp_path}/h.gorz", where="`r.s` = 'x' AND `p q` = 1 AND c = 'chr1'")) == [("chr1", 1, "x")]
+    assert rows(engine.sql(f"SELECT `r.s` FROM '{tmp_path}/h.gorz' WHERE `p q` < 2")) == [("x",)]
+    put(engine, tmp_path / "g.gorz", [("chr1", 1, "a\tb")])  # Q-9: the old file is gone
+    assert rows(engine.read_gor(p)) == [("chr1", 1, "a")]  # Q-8: a tab in a value begins a cell
+    with pytest.raises(Exception):  # noqa: B017, PT011 - Q-12: positions are 64-bit
+        engine.write_gor(spark.sql("SELECT 'chr1' AS c, CAST(10000000000000000000000000 AS DECIMAL(38, 0)) AS p"), f"{tmp_path}/w.gorz")
+    assert not (tmp_path / "w.gorz").exists()
+    (tmp_path / "t.gord").write_text(f"{p}\t\n")
+    with pytest.raises(Exception, match="read_gor: dictionary .* carries no tags"):  # Q-15
+        engine.read_gor(f"{tmp_path}/t.gord", f=["a"])
+
+
+def test_conditions_on_positions_that_are_no_integers_prune_nothing(engine, tmp_path):  # DEV-10
+    p = put(engine, tmp_path / "d.gorz", [("chr1", i, "x") for i in range(1, 9)])
+    (tmp_path / "d.gorz.meta").write_text("## SCHEMA = S,D,S\n")
+    df = engine.read_gor(p, where="pos > 1.5 AND pos < 4")
+    assert [r.pos for r in df.orderBy("pos").collect()] == [2.0, 3.0]
+    assert scans_of(df)[0].low < -(1 << 62) and scans_of(df)[0].high > 1 << 62
+
+
+def test_uris(engine, tmp_path):  # S14, DEV-4
+    at = f"file://{tmp_path}"
+    put(engine, f"{at}/s.gorz", ROWS, index="true")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "d.gord").write_text(f"../s.gorz\tt1\n{at}/s.gorz\tt2\n")
+    assert engine.read_gor(f"{at}/s.gorz", range="chr1").count() == 2
+    assert engine.read_gor(f"{at}/sub/d.gord", where="chrom = 'chr2' AND Source = 't2'").count() == 1
+    with pytest.raises(Exception, match="cannot open"):
+        engine.read_gor(f"{at}/none.gorz").count()
+    (tmp_path / "gone.gord").write_text("s.gorz\ta\nnone.gorz\tb\n")
+    with pytest.raises(Exception, match="cannot open"):
+        engine.read_gor(f"{at}/gone.gord").count()
