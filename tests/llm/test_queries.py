@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import odd_texts
+from odd_documents import odd_texts
 
 import corpus_pipeline
 import public_tokenizers
