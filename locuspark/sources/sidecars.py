@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import BinaryIO
 
 import pyspark.sql.types as T
 
 from . import files
 
+INDEX_HEAD = b"## fileformat=GORIv2\n"
+#: Text of an index that is in memory at once while indexes are joined.
+INDEX_BYTES = 1 << 20
 # Letters of the SCHEMA property.
 LETTERS = {"S": T.StringType(), "I": T.IntegerType(), "L": T.LongType(), "D": T.DoubleType()}
 
@@ -99,8 +104,19 @@ def parse_index(data: bytes) -> BlockIndex | None:
     return BlockIndex(keys, ends)
 
 
-def index_text(entries: list[tuple[bytes, bytes, int]]) -> bytes:
-    return b"## fileformat=GORIv2\n" + b"".join(b"%b\t%b\t%d\n" % x for x in entries)
+def index_entry(chrom: bytes, pos: bytes, end: int) -> bytes:
+    return b"%b\t%b\t%d\n" % (chrom, pos, end)
+
+
+def moved_entries(f: BinaryIO, by: int) -> Iterator[bytes]:
+    """The entries of a part's index with ``by`` added to their offsets, a piece of the file at a time."""
+    rest = b""
+    while chunk := f.read(INDEX_BYTES):
+        lines = (rest + chunk).split(b"\n")
+        rest = lines.pop()
+        fields = (x.rpartition(b"\t") for x in lines)
+        # A line feed within a chromosome's name leaves lines without an offset.
+        yield b"".join(b"%b\t%d\n" % (key, int(end) + by) if key and end.isdigit() else b"%b%b%b\n" % (key, tab, end) for key, tab, end in fields)
 
 
 def read_index(path: str) -> BlockIndex | None:

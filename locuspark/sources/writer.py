@@ -2,17 +2,19 @@
 
 Tasks check the order of their rows and encode them, each to a part file in a hidden folder beside the target;
 the commit checks the borders between parts, in the order of the partitions, joins the parts behind the header and renames the
-result into place. A failed write leaves nothing.
+result into place. A failed write leaves nothing. What is known of single blocks never passes through the driver's memory: with an
+index, a task writes the entries of its blocks beside its part, and the commit joins those files a piece at a time.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import shutil
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from ..functions.blocks import BLOCK_BYTES, ZSTD, frame
 from ..functions.cells import column_texts
 from . import files
-from .sidecars import index_text
+from .sidecars import INDEX_HEAD, index_entry, moved_entries
 
 #: What one process may join into one file.
 MOST_BYTES = 64 << 30
@@ -32,13 +34,13 @@ INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 @dataclass
 class Done(WriterCommitMessage):
+    """The driver holds those of all tasks, so their size must not depend on rows or blocks."""
+
     part: int = 0
     path: str = ""
     rows: int = 0
     first: tuple[str, int] | None = None
     last: tuple[str, int] | None = None
-    #: (chromosome, position, offset of the next block in the part) of each block.
-    blocks: list[tuple[bytes, bytes, int]] = field(default_factory=list)
 
 
 def in_order(last: tuple[str, int], key: tuple[str, int]) -> None:
@@ -74,17 +76,17 @@ class Encoder:
     """Sorted rows as blocks, or as lines of text; the order of the rows is checked.
 
     The lines of a batch are one run of bytes, put together column by column; blocks are cut from it by the lines' offsets.
+    ``index``: gets an entry for each block, with offsets from the start of ``out``.
     """
 
-    def __init__(self, out, packed: bool = True, flag: int = 0, block_bytes: int = BLOCK_BYTES):
-        self.out, self.packed, self.flag, self.block_bytes = out, packed, flag, block_bytes
+    def __init__(self, out, packed: bool = True, flag: int = 0, block_bytes: int = BLOCK_BYTES, index=None):
+        self.out, self.packed, self.flag, self.block_bytes, self.index = out, packed, flag, block_bytes, index
         #: Lines, each with its line feed, that don't fill a block yet, and the key of the last.
         self.held = b""
         self.key = (b"", b"")
         self.offset = self.rows = 0
         self.first: tuple[str, int] | None = None
         self.last: tuple[str, int] | None = None
-        self.blocks: list[tuple[bytes, bytes, int]] = []
 
     def add(self, batch: pa.RecordBatch) -> None:
         self._check(batch)
@@ -120,7 +122,8 @@ class Encoder:
         data = frame(lines[:-1], *key, self.flag)
         self.out.write(data)
         self.offset += len(data)
-        self.blocks.append((*key, self.offset))
+        if self.index:
+            self.index.write(index_entry(*key, self.offset))
 
     def _check(self, batch: pa.RecordBatch) -> None:
         for i, name in enumerate(("chrom", "pos")):
@@ -144,9 +147,8 @@ class Delimiter:
 
     def __init__(self, out, sep: str):
         self.out, self.sep = out, sep
-        self.rows = self.offset = 0
+        self.rows = 0
         self.first = self.last = None
-        self.blocks: list = []
 
     def add(self, batch: pa.RecordBatch) -> None:
         special = f'[{re.escape(self.sep)}"\n\r]'
@@ -173,7 +175,7 @@ class Writer(DataSourceArrowWriter):
         folder, _, name = path.rpartition("/")
         self.scratch = f"{folder}/.{name}.{uuid.uuid4().hex}"
         self.flag = ZSTD if options.get("codec", "zlib") == "zstd" else 0
-        self.index = options.get("index", "false").lower() == "true"
+        self.index = packed and options.get("index", "false").lower() == "true"
         self.header = options.get("header", "true").lower() == "true" or sep is None
         self.block_bytes = int(options.get("block_bytes", BLOCK_BYTES))
         self.most = int(options.get("max_file_bytes", MOST_BYTES))
@@ -188,13 +190,13 @@ class Writer(DataSourceArrowWriter):
         done = Done(part=context.partitionId() if context else 0)
         # Attempts of a task don't meet in one file.
         done.path = f"{self.scratch}/part-{done.part:06d}-{context.taskAttemptId() if context else 0}"
-        with create(done.path) as out:
-            encoder = Encoder(out, self.packed, self.flag, self.block_bytes) if self.sep is None else Delimiter(out, self.sep)
+        with create(done.path) as out, create(f"{done.path}.gori") if self.index else contextlib.nullcontext() as index:
+            encoder = Encoder(out, self.packed, self.flag, self.block_bytes, index) if self.sep is None else Delimiter(out, self.sep)
             for batch in iterator:
                 if batch.num_rows:
                     encoder.add(batch)
             encoder.finish()
-        done.rows, done.first, done.last, done.blocks = encoder.rows, encoder.first, encoder.last, encoder.blocks
+        done.rows, done.first, done.last = encoder.rows, encoder.first, encoder.last
         return done
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -203,23 +205,29 @@ class Writer(DataSourceArrowWriter):
             for a, b in zip(done, done[1:], strict=False):
                 if self.sep is None:
                     in_order(a.last, b.first)
-            total = sum(files.size(m.path) for m in done)
+            sizes = [files.size(m.path) for m in done]
+            total = sum(sizes)
             if total > self.most:
                 raise ValueError(f"{total} bytes are too many for one file, which a single process joins (max_file_bytes is {self.most}); write a dictionary with operators.tables.write_dictionary")
             header = (self.sep or "\t").join(self.names).encode() + b"\n" if self.header else b""
             joined = f"{self.scratch}/joined"
-            entries, offset = [], len(header)
             with create(joined) as out:
                 out.write(header)
                 for m in done:
                     with files.open_bytes(m.path) as part:
                         shutil.copyfileobj(part, out, 8 << 20)
-                    entries += [(c, p, offset + end) for c, p, end in m.blocks]
-                    offset += m.blocks[-1][2] if m.blocks else 0
+                    # The disk never has the table twice.
+                    remove(m.path)
             move(joined, self.path)
-            if self.index and self.packed:
+            if self.index:
+                offset = len(header)
                 with create(f"{self.path}.gori") as out:
-                    out.write(index_text(entries))
+                    out.write(INDEX_HEAD)
+                    for m, size in zip(done, sizes, strict=True):
+                        with files.open_bytes(f"{m.path}.gori") as part:
+                            for entries in moved_entries(part, offset):
+                                out.write(entries)
+                        offset += size
         finally:
             remove_folder(self.scratch)
 
@@ -266,6 +274,14 @@ def move(source: str, target: str) -> None:
         os.replace(source, target)
 
 
+def remove(path: str) -> None:
+    if files.is_uri(path):
+        system, at = _system(path)
+        system.delete_file(at)
+    else:
+        os.remove(path)
+
+
 def remove_folder(path: str) -> None:
     if files.is_uri(path):
         from pyarrow import fs
