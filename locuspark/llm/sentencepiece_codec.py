@@ -70,6 +70,7 @@ class Model:
         self.pieces = [pieces[i] for i in plain]
         self.lengths = np.array([len(x) for x in self.pieces], np.int64)
         self.depth = int(self.lengths.max(initial=1))
+        self._prepare()
         crossing = any(SPACE in x.lstrip(SPACE) for x in self.pieces)
         joined = {c for x in self.pieces if len(x) > 1 for c in x}
         alone = "".join(re.escape(c) for c in "\n\r\t" if c not in joined)
@@ -81,32 +82,57 @@ class Model:
         self.number: dict[str, int] = {}
         self.known, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
+    def _prepare(self) -> None:
+        """The pieces as keys, once for all texts. Codes keep the order of characters; zero is no character, the last code one that stands in no piece."""
+        symbols = sorted({ord(c) for x in self.pieces for c in x})
+        self.kind = np.dtype(">u2" if len(symbols) < (1 << 16) - 2 else ">u4")
+        self.code_of = np.full(0x110000, len(symbols) + 1, self.kind.newbyteorder("="))
+        self.code_of[symbols] = np.arange(1, len(symbols) + 1)
+        inside = np.arange(self.depth)[None, :] < self.lengths[:, None]
+        low = np.zeros(inside.shape, self.kind)
+        low[inside] = self.code_of[np.frombuffer("".join(self.pieces).encode("utf-32-le"), np.uint32)]
+        high = np.where(inside, low, np.iinfo(self.kind).max).astype(self.kind)
+        self.low, self.high = self._keys(low), self._keys(high)
+
+    def _keys(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of codes as byte strings, which sort alike."""
+        return np.ascontiguousarray(codes).view(f"S{self.kind.itemsize * self.depth}").ravel()
+
+    def _suffixes(self, windows: np.ndarray) -> np.ndarray:
+        """The suffix array, as deep as the windows: ranks by eight bytes, then by twice as many, and so on."""
+        n, covered = len(windows), 8 // self.kind.itemsize
+        first = np.zeros((n, covered), self.kind)
+        first[:, : self.depth] = windows[:, :covered]
+        keys = first.view(">u8").ravel().astype(np.uint64)
+        while True:
+            suffixes = np.argsort(keys)
+            if covered >= self.depth:
+                return suffixes
+            ordered = keys[suffixes]
+            ranks = np.zeros(n + covered, np.uint64)  # zero beyond the end
+            ranks[suffixes] = np.cumsum(np.append(True, ordered[1:] != ordered[:-1])[:n])
+            keys, covered = ranks[:n] << np.uint64(32) | ranks[covered:], covered * 2
+
+    def _found(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """All edges (position, piece) over the text, piece by piece."""
+        codes = self.code_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        padded = np.zeros(len(codes) + self.depth, self.kind)
+        padded[: len(codes)] = codes
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, self.depth)[: len(codes)])
+        suffixes = self._suffixes(windows)
+        keys = self._keys(windows)[suffixes]
+        first = np.searchsorted(keys, self.low, "left")
+        # A piece that doesn't stand where it would stand does not occur.
+        inside = np.flatnonzero(first < len(keys))
+        present = inside[keys[first[inside]] <= self.high[inside]]
+        first = first[present]
+        counts = np.searchsorted(keys, self.high[present], "right") - first
+        at = suffixes[np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+        return at, np.repeat(present, counts)
+
     def occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All edges (position, length, piece), in the order of positions, over the text."""
-        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        symbols, codes = np.unique(chars, return_inverse=True)
-        code_of = {chr(c): i + 1 for i, c in enumerate(symbols.tolist())}
-        kind = ">u2" if len(symbols) < (1 << 16) - 2 else ">u4"
-        width = np.dtype(kind).itemsize * self.depth
-        padded = np.zeros(len(chars) + self.depth, kind)
-        padded[: len(chars)] = codes + 1
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, self.depth)[: len(chars)])
-        keys = windows.view(f"S{width}").ravel()
-        suffixes = np.argsort(keys, kind="stable")
-        keys = keys[suffixes]
-        # Pieces with a character that the text lacks don't occur.
-        present = [i for i, x in enumerate(self.pieces) if all(c in code_of for c in x)]
-        low = np.zeros((len(present), self.depth), kind)
-        for row, i in enumerate(present):
-            low[row, : self.lengths[i]] = [code_of[c] for c in self.pieces[i]]
-        high = low.copy()
-        beyond = np.arange(self.depth)[None, :] >= self.lengths[present][:, None]
-        high[beyond] = np.iinfo(np.dtype(kind)).max
-        first = np.searchsorted(keys, low.view(f"S{width}").ravel(), "left")
-        last = np.searchsorted(keys, high.view(f"S{width}").ravel(), "right")
-        counts = last - first
-        piece = np.repeat(np.array(present, np.int64), counts)
-        at = suffixes[np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)]
+        at, piece = self._found(text)
         order = np.argsort(at, kind="stable")
         at, piece = at[order], piece[order]
         return at, self.lengths[piece], piece
@@ -116,7 +142,8 @@ class Model:
 
         Borders are the positions at which none of these pieces goes across: what stands on either side is relaxed by itself.
         """
-        at, length, piece = self.occurrences(text)
+        at, piece = self._found(text)
+        length = self.lengths[piece]
         inside = at + length <= ends[at]
         at, length, piece = at[inside], length[inside], piece[inside]
         n = len(text)

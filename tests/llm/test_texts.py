@@ -401,6 +401,27 @@ def test_occurrences_are_all_edges():
     assert at.tolist() == sorted(at.tolist())
 
 
+def test_pieces_are_prepared_once_for_all_texts():
+    """Small texts cost in proportion to what they hold, not the making of all pieces' keys anew; wide codes give the same edges."""
+    import time
+
+    own = sentencepiece_codec.Model(PIECES)
+    known = set(own.pieces)
+    rng = np.random.default_rng(3)
+    latin = "".join(map(chr, range(32, 127))) + "▁"
+    texts = ["".join(latin[i] for i in rng.permutation(len(latin))) + "▁the▁banana\U0010ffff\x00é漢▁" for _ in range(40)]
+    began = time.process_time()
+    found = [own.occurrences(x) for x in texts]
+    assert time.process_time() - began < 2
+    own.code_of, own.kind = own.code_of.astype(np.uint32), np.dtype(">u4")
+    unwind = lambda keys, fill: np.where((x := keys.view(">u2").reshape(-1, own.depth)) == 0xFFFF, fill, x).astype(">u4")
+    own.low, own.high = own._keys(unwind(own.low, 0)), own._keys(unwind(own.high, 0xFFFFFFFF))
+    for text, (at, length, piece) in zip(texts, found, strict=True):
+        got = sorted(zip(at.tolist(), length.tolist(), (own.pieces[i] for i in piece), strict=True))
+        assert got == sorted((i, n, text[i : i + n]) for i in range(len(text)) for n in range(1, 17) if i + n <= len(text) and text[i : i + n] in known)
+        assert all((x == y).all() for x, y in zip((at, length, piece), own.occurrences(text), strict=True))
+
+
 def test_tokens(odd, none, spark, tmp_path):
     from tokenizers import Tokenizer
 
